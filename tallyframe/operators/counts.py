@@ -14,6 +14,11 @@ LEVEL = ("national", "subset")
 _LEVEL_TYPE = "struct<national:boolean,subset:string>"
 
 
+def quoted(name: str) -> str:
+    """The name as a SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def count_where(condition: Column) -> Column:
     """Rows for which the condition is true. One conditional per row and counter."""
     return F.count(F.when(condition, 1))
@@ -42,7 +47,8 @@ def group_counts(
     subset holding most of the rows is no heavier than any other.
     """
     counters = [
-        F.expr(f"count(CASE WHEN {text} THEN 1 END) AS {name}") for name, text in conditions.items()
+        F.expr(f"count(CASE WHEN {text} THEN 1 END) AS {quoted(name)}")
+        for name, text in conditions.items()
     ]
     if subset is None:
         return data.agg(*counters) if counters else data.sparkSession.range(1).select()
@@ -77,7 +83,7 @@ def zero_rows(
     """Zero contributions for the nation and every subset that must appear."""
     rows = [(True, layout.NATIONAL)] + [(False, s) for s in subsets or ()]
     levels = local_table(spark, rows, "national boolean, subset string")
-    return levels.selectExpr(*LEVEL, *[f"0L AS {n}" for n in names])
+    return levels.selectExpr(*LEVEL, *[f"0L AS {quoted(n)}" for n in names])
 
 
 def count_levels(
@@ -96,7 +102,7 @@ def count_levels(
     parts = spread_levels(group_counts(data, conditions, subset), total).unionByName(
         zero_rows(data.sparkSession, names, subsets)
     )
-    return parts.groupBy(*LEVEL).agg(*[F.expr(f"sum({n}) AS {n}") for n in names])
+    return parts.groupBy(*LEVEL).agg(*[F.expr(f"sum({quoted(n)}) AS {quoted(n)}") for n in names])
 
 
 def long_counts(wide: DataFrame, names: Sequence[str]) -> DataFrame:

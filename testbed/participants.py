@@ -7,6 +7,10 @@ the date formatting function differs (``{dt}``).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyframe.functions.local import local_table
+from tallyframe.operators.prepare import prepare_input
 
 CODES = {
     "202": "l_partkey % 3",
@@ -67,19 +71,63 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_scan(scan: DataFrame) -> DataFrame:
+    """A scan with fewer splits than cores, spread over them; larger scans stay as they are."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def participants_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw participant records, all columns as strings."""
+    items = spread_scan(read_table(spark, sf_dir, "lineitem"))
     joined = (
-        read_table(spark, sf_dir, "lineitem")
-        .join(read_table(spark, sf_dir, "orders"), on=_eq("l_orderkey", "o_orderkey"))
-        .join(read_table(spark, sf_dir, "customer"), on=_eq("o_custkey", "c_custkey"))
-        .join(read_table(spark, sf_dir, "nation"), on=_eq("c_nationkey", "n_nationkey"))
+        items.join(read_table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(read_table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(read_table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     )
     exprs = column_sql("date_format({}, 'yyyyMMdd')")
     return joined.selectExpr(*[f"{e} AS PIRL{n}" for n, e in exprs.items()])
 
 
-def _eq(left: str, right: str):
-    from pyspark.sql import functions as F
+def participants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prepared participant records."""
+    return prepare_input(participants_raw(spark, sf_dir))
+
+
+MEASURES = [
+    (1, "Number Served (Reportable Individual)", 1),
+    (2, "Employment Rate Second Quarter After Exit", 1),
+    (3, "Employment Rate Fourth Quarter After Exit", 1),
+    (4, "Other", 2),
+]
+
+# measure, active, months from the start of a quarter to the first day and past the last day
+COHORT_SPANS = [(1, 1, -9, 3), (2, 1, -21, -9), (3, 1, -27, -15), (4, 1, -15, -3), (1, 0, -120, -117)]
+
+# quarter 13 is the second quarter of 2001
+QUARTER_NUMBER = "year(o_orderdate) * 4 + quarter(o_orderdate) - 7993"
 
-    return F.col(left) == F.col(right)
+
+def measures(spark: SparkSession) -> DataFrame:
+    return local_table(spark, MEASURES, "MeasureID int, Measure string, ReportTypeID int")
+
+
+def cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per span and every quarter in which something was ordered."""
+    quarters = (
+        read_table(spark, sf_dir, "orders")
+        .groupBy(F.expr(QUARTER_NUMBER).alias("QuarterID"))
+        .agg(F.to_date(F.date_trunc("quarter", F.min("o_orderdate"))).alias("first"))
+    )
+    spans = F.expr(
+        "explode(array("
+        + ", ".join(f"struct({m} AS m, {a} AS a, {b} AS b, {e} AS e)" for m, a, b, e in COHORT_SPANS)
+        + "))"
+    )
+    return quarters.select("QuarterID", "first", spans.alias("s")).selectExpr(
+        "s.m AS MeasureID",
+        "QuarterID",
+        "s.a AS IsActive",
+        "concat(add_months(first, s.b), ' 00:00:00') AS CoveredDataStartDate",
+        "concat(date_sub(add_months(first, s.e), 1), ' 00:00:00') AS CoveredDataEndDate",
+    )
