@@ -107,4 +107,4 @@ def count_levels(
 
 def long_counts(wide: DataFrame, names: Sequence[str]) -> DataFrame:
     """Wide counts as rows ``(cell, national, subset, n)``."""
-    return wide.unpivot(list(LEVEL), list(names), "cell", "n")
+    return wide.unpivot(list(LEVEL), [quoted(n) for n in names], "cell", "n")
