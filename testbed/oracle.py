@@ -303,7 +303,9 @@ def oracles() -> dict[str, str]:
         "median_by_subset": with_input(
             listed_medians, f"listed AS (SELECT * FROM (VALUES {_listed_values(LISTED)}) AS t(subset))"
         ),
-        "median_rollup": with_input(stacked(MEDIANS, "median"), median_levels),
+        "median_rollup": with_input(
+            f"SELECT * FROM ({stacked(MEDIANS, 'median')}) WHERE median IS NOT NULL", median_levels
+        ),
         "fused_cells": _fused(),
         "resolved_catalog": _resolved(),
         "ratio_national": with_input(ratio_rows(chosen, "subset = 'ALL'"), ratio_levels),
