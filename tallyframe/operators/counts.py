@@ -11,7 +11,6 @@ from tallyframe import layout
 from tallyframe.functions.local import local_table
 
 LEVEL = ("national", "subset")
-_LEVEL_TYPE = "struct<national:boolean,subset:string>"
 
 
 def quoted(name: str) -> str:
@@ -65,16 +64,12 @@ def spread_levels(grouped: DataFrame, total: str = "all") -> DataFrame:
     """
     if total == "listed":
         grouped = grouped.where("subset IS NOT NULL")
-    own = F.struct(F.lit(False).alias("national"), F.col("subset"))
-    nation = F.struct(F.lit(True).alias("national"), F.lit(layout.NATIONAL).alias("subset"))
-    levels = F.explode(F.array(own.cast(_LEVEL_TYPE), nation.cast(_LEVEL_TYPE)))
-    return (
-        grouped.select(levels.alias("level"), "*")
-        .drop("subset")
-        .select("level.*", "*")
-        .drop("level")
-        .where("national OR subset IS NOT NULL")
+    levels = (
+        "inline(array(struct(false AS national, subset AS subset), "
+        f"struct(true AS national, '{layout.NATIONAL}' AS subset)))"
     )
+    others = [quoted(c) for c in grouped.columns if c != "subset"]
+    return grouped.selectExpr(levels, *others).where("national OR subset IS NOT NULL")
 
 
 def zero_rows(

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tallyframe.operators.counts import LEVEL, count_where, spread_levels
 
 BUCKETS_PER_OCTAVE = 1024
+MAX_BROADCAST_PICKS = 100_000
 _LOWEST_OCTAVE = 150  # below the smallest single-precision exponent
 _HIGHEST_OCTAVE = 200.0  # above the largest, stands in for infinity
 _NAN_BUCKET = 1 << 40
@@ -62,11 +63,17 @@ def exact_medians(
     subset: Column,
     national: bool = True,
     by_subset: bool = True,
+    max_subsets: int | None = None,
 ) -> DataFrame:
     """Rows ``(cell, national, subset, median)`` for every non-empty group.
 
     The median is the middle value, or for an even count the mean of the two middle
     ones, in single precision. The nation takes in all rows, listed or not.
+
+    ``max_subsets`` is the number of codes that ``subset`` can take, where that is known.
+    A group picks at most two buckets, so it bounds the picked side of the join, which is
+    then broadcast instead of shuffling every distinct value to it. Without the bound, or
+    beyond ``MAX_BROADCAST_PICKS``, both sides are shuffled by bucket.
     """
     per_value = value_counts(data, conditions, value, subset)
     rows = (
@@ -101,6 +108,10 @@ def exact_medians(
         .where("lower BETWEEN 1 AND held OR upper BETWEEN 1 AND held")
     )
 
+    known = max_subsets if by_subset else 0
+    if known is not None and 2 * len(conditions) * (known + 1) <= MAX_BROADCAST_PICKS:
+        picked = F.broadcast(picked)
+
     ranked = Window.partitionBy(*group, "bucket").orderBy("x")
     ranked = ranked.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     middle = (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark.errors import AnalysisException, ParseException
@@ -106,6 +106,8 @@ class CohortReport:
     ):
         if mode not in MODES:
             raise ValueError(f"unknown mode {mode!r}, use one of {', '.join(MODES)}")
+        if layout.NATIONAL in (subsets or ()):
+            raise ValueError(f"{layout.NATIONAL} stands for the nation, it cannot be a subset")
         self.data = data
         self.spark = data.sparkSession
         self.catalog = catalog
@@ -124,14 +126,14 @@ class CohortReport:
         bound = []
         for cell in cells:
             if cell.predicate is not None:
-                cell = _with(cell, predicate=bind(cell.predicate, self.bounds))
+                cell = replace(cell, predicate=bind(cell.predicate, self.bounds))
             bound.append(cell)
         bad = invalid_conditions(self.data, [c.predicate for c in bound if c.predicate])
         missing = {
             c.value for c in bound if c.kind == MEDIAN and c.value not in self.data.columns
         }
         return [
-            _with(c, kind=layout.FAILED, problem="not a valid filter")
+            replace(c, kind=layout.FAILED, problem="not a valid filter")
             if c.predicate in bad or (c.kind == MEDIAN and c.value in missing)
             else c
             for c in bound
@@ -165,9 +167,9 @@ class CohortReport:
                 F.lit(True).alias("national"), F.lit(layout.NATIONAL).alias("subset"), *conditions
             )
         if not conditions:
-            found = spread_levels(subset_list(self.data, self.subset_column)) if (
-                self.subsets is None
-            ) else zero_rows(self.spark, [], self.subsets)
+            if self.subsets is not None:
+                return zero_rows(self.spark, [], self.subsets)
+            found = spread_levels(subset_list(self.data, self.subset_column))
             return found.unionByName(zero_rows(self.spark, [])).distinct()
         return count_levels(self.data, conditions, self._key(), self.subsets, self.total)
 
@@ -177,8 +179,9 @@ class CohortReport:
         for (value, text), column in self._middles.items():
             by_value.setdefault(value, {})[column] = text
         national, by_subset = self.levels[MEDIAN]
+        known = None if self.subsets is None else len(self.subsets)
         parts = [
-            exact_medians(self.data, conditions, value, self._key(), national, by_subset)
+            exact_medians(self.data, conditions, value, self._key(), national, by_subset, known)
             for value, conditions in by_value.items()
         ]
         if not parts:
@@ -331,9 +334,3 @@ class CohortReport:
             (F.lit(len(self.catalog)) * F.col("subsets")).alias("cell_values"),
             (F.lit(len(self.catalog)) * F.col("subsets") * F.col("rows")).alias("calculations"),
         )
-
-
-def _with(cell: ResolvedCell, **changes) -> ResolvedCell:
-    from dataclasses import replace
-
-    return replace(cell, **changes)

@@ -73,3 +73,19 @@ def test_dry_run_starts_no_job(stored):
     run.results()
     run.catalog.resolved_frame(stored.sparkSession, BOUNDS)
     assert len(tracker.getJobIdsForGroup(None)) == before
+
+
+def test_picked_buckets_are_broadcast_only_within_a_known_bound(stored):
+    def plan(**options):
+        texts = conditions("G29")
+        frame = exact_medians(stored, texts, "p1704", listed_subset(codes=["AK"]), **options)
+        return frame._jdf.queryExecution().sparkPlan().toString()
+
+    stored.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" not in plan()
+        assert "BroadcastHashJoin" in plan(max_subsets=1)
+        assert "BroadcastHashJoin" in plan(by_subset=False)
+        assert "BroadcastHashJoin" not in plan(max_subsets=10**6)
+    finally:
+        stored.sparkSession.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -156,3 +156,8 @@ def test_run_stats(data):
     assert (stats["rows"], stats["cells"], stats["subsets"], stats["calculations"]) == (6, 4, 3, 72)
     static = CohortReport(data, Catalog(CELLS), subsets=["AK", "WY"]).run_stats().first()
     assert (static["rows"], static["subsets"], static["cell_values"]) == (6, 2, 8)
+
+
+def test_the_nation_is_not_a_subset(data):
+    with pytest.raises(ValueError):
+        CohortReport(data, Catalog(CELLS), subsets=["AK", "ALL"])
