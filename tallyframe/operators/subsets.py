@@ -19,7 +19,7 @@ def listed_subset(column: str = layout.SUBSET_COLUMN, codes: Sequence[str] | Non
     Unlisted codes all fall into one NULL group, so that dirty codes cannot widen an
     aggregation: it has at most one group per listed code and one more.
     """
-    code = F.col(column)
+    code = F.col(column).cast("string")
     if codes is None:
         return F.when(F.length(code) <= MAX_CODE_LENGTH, code)
     return F.when(code.isin(list(codes)), code)
