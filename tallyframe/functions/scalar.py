@@ -42,8 +42,11 @@ def report_key(cell: Column, subset: Column) -> Column:
 
 
 def split_report_key(key: Column) -> tuple[Column, Column]:
-    """Cell and subset of a ``cell-subset`` key; a key without subset is national."""
-    pieces = F.split(key, "-")
+    """Cell and subset of a ``cell-subset`` key; a key without subset is national.
+
+    The first hyphen separates them, so a subset code may contain hyphens itself.
+    """
+    pieces = F.split(key, "-", 2)
     subset = F.when(F.size(pieces) == 2, F.get(pieces, F.lit(1))).otherwise(layout.NATIONAL)
     return pieces[0], subset
 

@@ -52,10 +52,13 @@ def read_reference_jdbc(
     return read(layout.COHORTS_TABLE, COHORTS_SCHEMA), read(layout.MEASURES_TABLE, MEASURES_SCHEMA)
 
 
-def publish_reference(cohorts: DataFrame, measures: DataFrame, persist: bool = True) -> None:
+def publish_reference(
+    cohorts: DataFrame, measures: DataFrame, periods: DataFrame | None = None, persist: bool = True
+) -> None:
     """Register the reference tables for SQL use, cached by default as they are small."""
-    for name, table in (("cohorts", cohorts), ("measures", measures)):
-        (table.persist() if persist else table).createOrReplaceTempView(name)
+    for name, table in (("cohorts", cohorts), ("measures", measures), ("periods", periods)):
+        if table is not None:
+            (table.persist() if persist else table).createOrReplaceTempView(name)
 
 
 # --- configuration texts --------------------------------------------------------

@@ -252,9 +252,9 @@ def oracles() -> dict[str, str]:
         ),
         "expected_values": (
             "SELECT concat('C', o_orderkey) AS cell, "
-            "CASE o_orderkey % 6 WHEN 0 THEN 'NA' WHEN 3 THEN 'NB' ELSE 'ALL' END AS subset, "
-            "CASE WHEN o_orderkey % 6 = 3 THEN '' ELSE CAST(o_custkey AS VARCHAR) END AS expected "
-            "FROM orders WHERE o_orderkey % 6 < 4"
+            "CASE o_orderpriority WHEN '1-URGENT' THEN 'NA' WHEN '4-NOT SPECIFIED' THEN 'NB' ELSE 'ALL' END AS subset, "
+            "CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN '' ELSE CAST(o_custkey AS VARCHAR) END AS expected "
+            "FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED')"
         ),
         "cell_catalog": (
             "SELECT concat('P', p_partkey) AS cell, "

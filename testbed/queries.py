@@ -125,13 +125,13 @@ def subsets(spark, sf_dir):
 def expected_values(spark, sf_dir):
     """Every order as a line of an expected-values file, in all the forms such lines take."""
     lines = read_table(spark, sf_dir, "orders").selectExpr(
-        "CASE CAST(o_orderkey % 6 AS INT) "
-        "WHEN 0 THEN concat('C', o_orderkey, '-NA = ', o_custkey) "
-        "WHEN 1 THEN concat('  C', o_orderkey, '-ALL = ', o_custkey, ' ') "
-        "WHEN 2 THEN concat('C', o_orderkey, ' = ', o_custkey) "
-        "WHEN 3 THEN concat('C', o_orderkey, '-NB') "
-        "WHEN 4 THEN concat('// C', o_orderkey, '-NA = 1') "
-        "ELSE '   ' END AS value"
+        "CASE o_orderpriority "
+        "WHEN '1-URGENT' THEN concat('C', o_orderkey, '-NA = ', o_custkey) "
+        "WHEN '2-HIGH' THEN concat('  C', o_orderkey, '-ALL = ', o_custkey, ' ') "
+        "WHEN '3-MEDIUM' THEN concat('C', o_orderkey, ' = ', o_custkey) "
+        "WHEN '4-NOT SPECIFIED' THEN concat('C', o_orderkey, '-NB') "
+        "ELSE CASE o_orderstatus WHEN 'F' THEN '   ' ELSE concat('// C', o_orderkey, '-NA = 1') END "
+        "END AS value"
     )
     return parse_expected(lines)
 

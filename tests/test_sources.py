@@ -3,6 +3,7 @@ import json
 import pytest
 
 from tallyframe import CohortReport, layout, standard_catalog
+from tallyframe.operators import periods
 from tallyframe.plans import adhoc_sql
 from tallyframe.plans.catalog import COUNT, MEDIAN, RATIO, REFINE
 from tallyframe.sources import (
@@ -30,7 +31,7 @@ def write(tmp_path, name, text):
 
 
 def test_expected_values(spark, tmp_path):
-    text = "// heading\n\nF04-AK = 12\n  F04-ALL = 3 \nF05\nF06-AL =\nF07-AK = a = b\nF04-AK = 13\nG05 = 0.5"
+    text = "// heading\n\nF04-AK = 12\n  F04-ALL = 3 \nF05\nF06-AL =\nF07-AK = a = b\nF04-AK = 13\nG05 = 0.5\nF08-A-B = 7"
     rows = {(r["cell"], r["subset"]): r["expected"] for r in read_expected(spark, write(tmp_path, "e.txt", text)).collect()}
     assert rows == {
         ("F04", "AK"): "13",
@@ -39,6 +40,7 @@ def test_expected_values(spark, tmp_path):
         ("F06", "AL ="): "",
         ("F07", "AK"): "",
         ("G05", "ALL"): "0.5",
+        ("F08", "A-B"): "7",
     }
 
 
@@ -104,10 +106,12 @@ def test_reference_tables_from_csv(spark, tmp_path):
     c, m = read_reference_csv(spark, cohorts, measures)
     assert tuple(c.first()) == (1, 13, 1, "2000-07-01 00:00:00", "2001-06-30 00:00:00")
     assert [tuple(r) for r in m.collect()] == [(1, "Number, Served", 1), (2, "Other", None)]
-    publish_reference(c, m)
+    period_table = periods(m, c)
+    publish_reference(c, m, period_table)
+    assert adhoc_sql(spark, "SELECT period FROM periods").first()[0] == "Current"
     rows = adhoc_sql(spark, "SELECT m.Measure FROM measures m JOIN cohorts c USING (MeasureID)").collect()
     assert [r[0] for r in rows] == ["Number, Served"]
-    for view in ("cohorts", "measures"):
+    for view in ("cohorts", "measures", "periods"):
         spark.catalog.uncacheTable(view)
 
 
