@@ -3,7 +3,7 @@ from tallyframe.operators.medians import exact_medians
 from tallyframe.operators.periods import periods, report_windows, window_bounds
 from tallyframe.operators.prepare import prepare_input, publish_input
 from tallyframe.operators.reconcile import accuracy_summary, compare_expected, report_rows
-from tallyframe.operators.subsets import listed_subset, subset_list
+from tallyframe.operators.subsets import is_listed, listed_subset, subset_list
 
 __all__ = [
     "accuracy_summary",
@@ -11,6 +11,7 @@ __all__ = [
     "count_levels",
     "exact_medians",
     "group_counts",
+    "is_listed",
     "listed_subset",
     "long_counts",
     "periods",

@@ -15,6 +15,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyframe import layout
 from tallyframe.operators.counts import LEVEL, count_where, spread_levels
 
 BUCKETS_PER_OCTAVE = 1024
@@ -75,17 +76,21 @@ def exact_medians(
     then broadcast instead of shuffling every distinct value to it. Without the bound, or
     beyond ``MAX_BROADCAST_PICKS``, both sides are shuffled by bucket.
     """
+    if not national:
+        data = data.where(subset.isNotNull())
+    if not by_subset:
+        subset = F.lit(None).cast("string")
     per_value = value_counts(data, conditions, value, subset)
     rows = (
         per_value.unpivot(["code", "listed", "x"], list(conditions), "cell", "n")
         .where("n > 0")
         .select("cell", F.when(F.col("listed"), F.col("code")).alias("subset"), "x", "n")
     )
-    rows = spread_levels(rows)
-    if not national:
-        rows = rows.where("NOT national")
-    if not by_subset:
-        rows = rows.where("national")
+    if national and by_subset:
+        rows = spread_levels(rows)
+    else:
+        own = "subset" if by_subset else f"'{layout.NATIONAL}'"
+        rows = rows.selectExpr(f"{national} AS national", f"{own} AS subset", "cell", "x", "n")
     rows = rows.select(
         "cell", "national", F.coalesce("subset", F.lit("")).alias("subset"), "x", "n",
         value_bucket(F.col("x")).alias("bucket"),

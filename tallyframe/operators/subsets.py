@@ -12,20 +12,25 @@ from tallyframe import layout
 MAX_CODE_LENGTH = 2
 
 
+def is_listed(column: str = layout.SUBSET_COLUMN, codes: Sequence[str] | None = None) -> Column:
+    """Whether the row's code is listed, as a filter the scan can use.
+
+    Listed are the given codes or, without them, every code of at most two characters.
+    """
+    if codes is None:
+        return F.length(F.col(column)) <= MAX_CODE_LENGTH
+    return F.col(column).cast("string").isin(list(codes))
+
+
 def listed_subset(column: str = layout.SUBSET_COLUMN, codes: Sequence[str] | None = None) -> Column:
     """The subset code where it is listed, else NULL.
 
-    Listed are the given codes or, without them, every code of at most two characters.
     Unlisted codes all fall into one NULL group, so that dirty codes cannot widen an
     aggregation: it has at most one group per listed code and one more.
     """
-    code = F.col(column).cast("string")
-    if codes is None:
-        return F.when(F.length(code) <= MAX_CODE_LENGTH, code)
-    return F.when(code.isin(list(codes)), code)
+    return F.when(is_listed(column, codes), F.col(column).cast("string"))
 
 
 def subset_list(data: DataFrame, column: str = layout.SUBSET_COLUMN) -> DataFrame:
     """Distinct listed codes found in the data."""
-    code = listed_subset(column)
-    return data.select(code.alias("subset")).where("subset IS NOT NULL").distinct()
+    return data.where(is_listed(column)).select(F.col(column).cast("string").alias("subset")).distinct()

@@ -24,7 +24,7 @@ from tallyframe.operators.counts import (
 )
 from tallyframe.operators.medians import exact_medians
 from tallyframe.operators.reconcile import accuracy_summary, compare_expected, report_rows
-from tallyframe.operators.subsets import listed_subset, subset_list
+from tallyframe.operators.subsets import is_listed, listed_subset, subset_list
 from tallyframe.plans.catalog import COUNT, MEDIAN, RATIO, Catalog, ResolvedCell, bind
 
 
@@ -156,6 +156,10 @@ class CohortReport:
     def _key(self) -> Column:
         return listed_subset(self.subset_column, self.subsets)
 
+    def _listed_rows(self) -> DataFrame:
+        """Rows that count where only listed subsets do."""
+        return self.data.where(is_listed(self.subset_column, self.subsets))
+
     def _wide_counts(self) -> DataFrame:
         conditions = {column: text for text, column in self._counters.items()}
         if self.mode == "national":
@@ -171,7 +175,8 @@ class CohortReport:
                 return zero_rows(self.spark, [], self.subsets)
             found = spread_levels(subset_list(self.data, self.subset_column))
             return found.unionByName(zero_rows(self.spark, [])).distinct()
-        return count_levels(self.data, conditions, self._key(), self.subsets, self.total)
+        data = self._listed_rows() if self.total == "listed" else self.data
+        return count_levels(data, conditions, self._key(), self.subsets, self.total)
 
     def _wide_medians(self) -> DataFrame | None:
         """One row per level with a column per distinct median."""
@@ -179,9 +184,10 @@ class CohortReport:
         for (value, text), column in self._middles.items():
             by_value.setdefault(value, {})[column] = text
         national, by_subset = self.levels[MEDIAN]
+        data = self.data if national else self._listed_rows()
         known = None if self.subsets is None else len(self.subsets)
         parts = [
-            exact_medians(self.data, conditions, value, self._key(), national, by_subset, known)
+            exact_medians(data, conditions, value, self._key(), national, by_subset, known)
             for value, conditions in by_value.items()
         ]
         if not parts:

@@ -54,7 +54,7 @@ def test_fused_equals_one_query_per_condition(make_input):
     atoms = ["p918 = 1", "p301 > 0", "p901 IS NULL", "p901 >= DATE '2020-06-01'", "p301 IN (1, 2)"]
     texts = {
         f"c{i}": f" {rng.choice(['AND', 'OR'])} ".join(rng.sample(atoms, rng.randint(1, 3)))
-        for i in range(25)
+        for i in range(10)
     }
     data = make_input(rows).cache()
     fused = count_levels(data, texts, listed_subset())

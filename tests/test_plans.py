@@ -89,3 +89,12 @@ def test_picked_buckets_are_broadcast_only_within_a_known_bound(stored):
         assert "BroadcastHashJoin" not in plan(max_subsets=10**6)
     finally:
         stored.sparkSession.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_static_list_reaches_the_scan(stored):
+    run = CohortReport(stored, standard_catalog(), BOUNDS, mode="subsets", subsets=["AK", "AL"])
+    for frame in (run._wide_counts(), run._wide_medians()):
+        detail = frame._jdf.queryExecution().explainString(
+            frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        )
+        assert "In(p3000, [AK,AL])" in re.findall(r"PushedFilters: \[(.*)\]", detail)[0]
