@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, rules
+from . import chat, mixing, packing, rules
 from .common import documents
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), tokenizer_file(), size=2048)
+
+
 def op3_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -29,4 +39,4 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(turns))
 
 
-QUERIES = {"op3_rules": op3_rules, "op5_mixing": op5_mixing, "op10_chat": op10_chat}
+QUERIES = {"op1_packing": op1_packing, "op3_rules": op3_rules, "op5_mixing": op5_mixing, "op10_chat": op10_chat}
