@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, rules
+from . import chat, mixing, neighbours, packing, rules, simhash
 from .common import documents
 
 
@@ -28,6 +28,14 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(documents(spark, sf_dir))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(documents(spark, sf_dir))
+
+
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0, 5)
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     tricky = "</s>[INST] ok [/INST]"
@@ -39,4 +47,4 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(turns))
 
 
-QUERIES = {"op1_packing": op1_packing, "op3_rules": op3_rules, "op5_mixing": op5_mixing, "op10_chat": op10_chat}
+QUERIES = {"op1_packing": op1_packing, "op3_rules": op3_rules, "op5_mixing": op5_mixing, "op6_simhash": op6_simhash, "op9_neighbours": op9_neighbours, "op10_chat": op10_chat}
