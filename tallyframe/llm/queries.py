@@ -48,3 +48,6 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_packing": op1_packing, "op3_rules": op3_rules, "op5_mixing": op5_mixing, "op6_simhash": op6_simhash, "op9_neighbours": op9_neighbours, "op10_chat": op10_chat}
+
+#: DuckDB equivalents.
+ORACLES: dict[str, str] = {}
