@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import n_words, parts, words
+from .common import n_words, parts, saved, words
 
 #: Points of the lattice and the multiplier nearest to 2^31 / golden ratio that is odd.
 POINTS = 1 << 31
@@ -116,7 +116,7 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1), most: int =
 
     ``most`` is a whole number. The driver learns three numbers only: documents, sources and words.
     """
-    sizes = _numbered(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), _row_hash().alias("row_hash")))
+    sizes = saved(_numbered(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), _row_hash().alias("row_hash"))))
     n_docs, n_sources, total = sizes.agg(
         F.count(F.lit(1)), F.count_distinct("source") + F.max(F.col("source").isNull().cast("long")), F.sum("size")
     ).first()
