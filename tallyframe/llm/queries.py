@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, neighbours, packing, perplexity, rules, simhash
+from . import chat, mixing, neighbours, packing, perplexity, rules, simhash, toxicity
 from .common import documents
 
 
@@ -36,6 +36,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0, 5)
 
@@ -51,7 +55,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(turns))
 
 
-QUERIES = {"op1_packing": op1_packing, "op3_rules": op3_rules, "op5_mixing": op5_mixing, "op6_simhash": op6_simhash, "op7_quality": op7_quality, "op9_neighbours": op9_neighbours, "op10_chat": op10_chat}
+QUERIES = {"op1_packing": op1_packing, "op3_rules": op3_rules, "op5_mixing": op5_mixing, "op6_simhash": op6_simhash, "op7_quality": op7_quality, "op8_toxicity": op8_toxicity, "op9_neighbours": op9_neighbours, "op10_chat": op10_chat}
 
 #: DuckDB equivalents.
 ORACLES: dict[str, str] = {}
