@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, neighbours, packing, perplexity, rules, simhash, toxicity
+from . import chat, mixing, neighbours, packing, perplexity, rules, secrets, simhash, toxicity
 from .common import documents
 
 
@@ -24,6 +24,10 @@ def op3_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.by_document(documents(spark, sf_dir))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(documents(spark, sf_dir))
 
@@ -55,7 +59,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(turns))
 
 
-QUERIES = {"op1_packing": op1_packing, "op3_rules": op3_rules, "op5_mixing": op5_mixing, "op6_simhash": op6_simhash, "op7_quality": op7_quality, "op8_toxicity": op8_toxicity, "op9_neighbours": op9_neighbours, "op10_chat": op10_chat}
+QUERIES = {"op1_packing": op1_packing, "op3_rules": op3_rules, "op4_secrets": op4_secrets, "op5_mixing": op5_mixing, "op6_simhash": op6_simhash, "op7_quality": op7_quality, "op8_toxicity": op8_toxicity, "op9_neighbours": op9_neighbours, "op10_chat": op10_chat}
 
 #: DuckDB equivalents.
 ORACLES: dict[str, str] = {}
