@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, neighbours, packing, perplexity, rules, secrets, simhash, toxicity
+from . import chat, mixing, neighbours, packing, perplexity, rules, secrets, simhash, suffixes, toxicity
 from .common import documents
 
 
@@ -19,6 +19,14 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_file(), size=2048)
 
 
+def op2_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.remove_repeats(documents(spark, sf_dir), length=50)
+    removed = F.col("n_bytes") - F.octet_length("kept")
+    return cut.select(
+        "doc_id", "n_bytes", removed.cast("long").alias("n_removed"), F.size("span_starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op3_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -59,7 +67,14 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(turns))
 
 
-QUERIES = {"op1_packing": op1_packing, "op3_rules": op3_rules, "op4_secrets": op4_secrets, "op5_mixing": op5_mixing, "op6_simhash": op6_simhash, "op7_quality": op7_quality, "op8_toxicity": op8_toxicity, "op9_neighbours": op9_neighbours, "op10_chat": op10_chat}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of ``corpus_pipeline``, which stands beside this package and goes with it."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {"pipeline": pipeline, "op1_packing": op1_packing, "op2_suffixes": op2_suffixes, "op3_rules": op3_rules, "op4_secrets": op4_secrets, "op5_mixing": op5_mixing, "op6_simhash": op6_simhash, "op7_quality": op7_quality, "op8_toxicity": op8_toxicity, "op9_neighbours": op9_neighbours, "op10_chat": op10_chat}
 
 #: DuckDB equivalents.
 ORACLES: dict[str, str] = {}

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import parts, saved, words
+from .common import LAST_ID, parts, saved, words
 from .components import components
 
 BLOCKS = 4
@@ -65,8 +65,9 @@ def _majority(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fingerprints(docs: DataFrame, n: int = 3) -> DataFrame:
-    """``doc_id`` and the 64-bit fingerprint ``fp`` as a signed long."""
-    return docs.select(F.col("doc_id").cast("long"), shingle_hashes(F.col("text"), n).alias("hashes")).mapInArrow(_majority, "doc_id long, fp long")
+    """``doc_id``, ``text_hash`` and the 64-bit fingerprint ``fp`` as a signed long."""
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), shingle_hashes(F.col("text"), n).alias("hashes"))
+    return rows.mapInArrow(_majority, "doc_id long, text_hash long, fp long")
 
 
 def _turned(fp: np.ndarray, block: int) -> np.ndarray:
@@ -194,17 +195,32 @@ def _linker(few: int):
     return links
 
 
-def near_groups(docs: DataFrame, *, shingle: int = 3, few: int = 32, rows_a_task: int = 1_500_000) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (16 hexadecimal digits) and ``component_id``, the smallest id that links lead to."""
+def _grouped(docs: DataFrame, shingle: int, few: int, rows_a_task: int) -> tuple[DataFrame, DataFrame]:
+    """Documents' fingerprints, and for each fingerprint ``n_fp`` its component's smallest id and first row."""
     found = saved(fingerprints(docs, shingle))
-    distinct = saved(found.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
+    first = F.min(F.struct(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), F.col("text_hash").alias("hash")))
+    distinct = saved(found.groupBy("fp").agg(F.min("doc_id").alias("least_id"), first.alias("first_row")))
     tasks = parts(distinct.count() * KEYS, rows_a_task)
     keys = distinct.select("fp").mapInArrow(_emit, "key long, fp long")
     edges = keys.repartition(tasks, "key").mapInArrow(_linker(few), "a long, b long")
     roots = components(edges)
-    named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy(F.col("root").alias("of")).agg(F.min("least_id").alias("component_id"))
-    by_fp = named.join(least, named["root"] == least["of"]).select(F.col("fp").alias("n_fp"), "component_id")
+    named = distinct.join(roots, distinct["fp"] == roots["node"], "left").withColumn("root", F.coalesce("root", "fp"))
+    least = named.groupBy(F.col("root").alias("of")).agg(F.min("least_id").alias("component_id"), F.min("first_row").alias("component_row"))
+    return found, named.join(least, named["root"] == least["of"]).select(F.col("fp").alias("n_fp"), "component_id", "component_row")
+
+
+def near_groups(docs: DataFrame, *, shingle: int = 3, few: int = 32, rows_a_task: int = 1_500_000) -> DataFrame:
+    """``doc_id``, ``fingerprint`` (16 hexadecimal digits) and ``component_id``, the smallest id that links lead to."""
+    found, by_fp = _grouped(docs, shingle, few, rows_a_task)
     return found.join(by_fp, found["fp"] == by_fp["n_fp"]).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(docs: DataFrame, *, shingle: int = 3, few: int = 32, rows_a_task: int = 1_500_000) -> DataFrame:
+    """``docs`` with one row of each component: the smallest id's, of rows with that id the smallest text hash's."""
+    _, by_fp = _grouped(docs, shingle, few, rows_a_task)
+    stay = by_fp.select(F.col("component_row.id").alias("stay_id"), F.col("component_row.hash").alias("stay_hash")).distinct()
+    keyed = docs.withColumns({"row_id_": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "row_hash_": F.xxhash64("text")})
+    same = (F.col("row_id_") == F.col("stay_id")) & (F.col("row_hash_") == F.col("stay_hash"))
+    return keyed.join(stay, same, "left_semi").dropDuplicates(["row_id_", "row_hash_"]).select(*[F.col(c) for c in docs.columns])
