@@ -34,6 +34,9 @@ def session(cpus: str) -> SparkSession:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.codegen.maxFields", "350")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.sql.files.maxPartitionBytes", "2m")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +24,28 @@ def count_where(condition: Column) -> Column:
     return F.count(F.when(condition, 1))
 
 
-def tune_codegen(spark: SparkSession, counters: int) -> None:
-    """Session settings under which Spark compiles an aggregate with this many counters.
+def wrapped(text: str) -> str:
+    """The condition as one operand: in parentheses that a comment at its end can't swallow."""
+    return f"({text}\n)"
+
+
+@contextmanager
+def lenient(spark: SparkSession) -> Iterator[None]:
+    """Frames made inside give NULL where a comparison's cast or a division fails, instead of an error.
+
+    Spark fixes this per expression when a frame is made; the session's setting is as before afterwards.
+    """
+    name = "spark.sql.ansi.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def tune_session(spark: SparkSession, counters: int = 300) -> None:
+    """Settings for sessions that run wide reports; nothing in the library calls it.
 
     By default whole-stage code generation stops at 100 fields, and a wider aggregate runs
     about 1.6 times slower. Methods beyond 8000 bytes of bytecode are never optimized by
@@ -46,14 +67,13 @@ def group_counts(
     subset holding most of the rows is no heavier than any other.
     """
     counters = [
-        F.expr(f"count(CASE WHEN {text} THEN 1 END) AS {quoted(name)}")
+        F.expr(f"count(CASE WHEN {wrapped(text)} THEN 1 END) AS {quoted(name)}")
         for name, text in conditions.items()
     ]
-    if subset is None:
-        return data.agg(*counters) if counters else data.sparkSession.range(1).select()
     if not counters:
-        return data.select(subset.alias("subset")).distinct()
-    return data.groupBy(subset.alias("subset")).agg(*counters)
+        return data.sparkSession.range(1).select() if subset is None else data.select(subset.alias("subset")).distinct()
+    with lenient(data.sparkSession):
+        return data.agg(*counters) if subset is None else data.groupBy(subset.alias("subset")).agg(*counters)
 
 
 def spread_levels(grouped: DataFrame, total: str = "all") -> DataFrame:

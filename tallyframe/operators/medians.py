@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe import layout
-from tallyframe.operators.counts import LEVEL, count_where, spread_levels
+from tallyframe.operators.counts import LEVEL, count_where, lenient, spread_levels, wrapped
 
 BUCKETS_PER_OCTAVE = 1024
 MAX_BROADCAST_PICKS = 100_000
@@ -45,16 +45,16 @@ def value_counts(
     Rows that meet no condition are dropped before the shuffle, and the disjunction
     lets Catalyst push what the conditions have in common into the scan.
     """
-    flags = {name: F.expr(text) for name, text in conditions.items()}
+    flags = {name: F.expr(wrapped(text)) for name, text in conditions.items()}
+    x = F.col(value).try_cast("float")
     wanted = None
     for flag in flags.values():
         wanted = flag if wanted is None else wanted | flag
-    kept = data.where(wanted & F.col(value).isNotNull())
-    return kept.groupBy(
-        F.coalesce(subset, F.lit("")).alias("code"),
-        subset.isNotNull().alias("listed"),
-        F.col(value).try_cast("float").alias("x"),
-    ).agg(*[count_where(flag).alias(name) for name, flag in flags.items()])
+    with lenient(data.sparkSession):
+        kept = data.where(wanted & F.col(value).isNotNull() & x.isNotNull())
+        return kept.groupBy(
+            F.coalesce(subset, F.lit("")).alias("code"), subset.isNotNull().alias("listed"), x.alias("x")
+        ).agg(*[count_where(flag).alias(name) for name, flag in flags.items()])
 
 
 def exact_medians(
@@ -121,6 +121,9 @@ def exact_medians(
     ranked = ranked.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     middle = (
         rows.join(picked, [*group, "bucket"])
+        # the nation's rows come from every subset: one row a value, whatever the number of subsets
+        .groupBy(*group, "bucket", "x")
+        .agg(F.sum("n").alias("n"), F.max("lower").alias("lower"), F.max("upper").alias("upper"))
         .withColumn("reached", F.sum("n").over(ranked))
         .groupBy(*group)
         .agg(

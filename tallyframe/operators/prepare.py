@@ -27,26 +27,24 @@ def prepare_input(
 
     A kept column that is absent is an error; a date, code or wage column that is not
     kept is skipped. Values that do not parse become NULL, so no row can fail a run.
-    ``partitions`` repartitions only when the count differs; without it the scan's
-    own partitioning is kept and adaptive execution sizes what follows.
+    ``partitions`` deals the rows out anew; without it the scan's own partitioning is
+    kept and adaptive execution sizes what follows.
     """
     typed = []
     for name in kept:
         target, column = prepared_name(name), F.col(name)
-        is_text = raw.schema[name].dataType.typeName() == "string" if name in raw.columns else True
-        if target in dates and is_text:
-            column = compact_date(column)
-        elif target in dates:
-            column = column.cast("date")
+        kind = raw.schema[name].dataType.typeName() if name in raw.columns else "string"
+        if target in dates:
+            dated = kind in ("date", "timestamp", "timestamp_ntz")
+            column = column.cast("date") if dated else compact_date(column.cast("string"))
         elif target in codes:
-            column = column.try_cast("int")
+            # codes written as decimals are cut to whole numbers
+            column = F.coalesce(column.try_cast("int"), column.try_cast("decimal(38,10)").try_cast("int"))
         elif target == wage:
             column = column.try_cast("float")
         typed.append(column.alias(target))
     prepared = raw.select(*typed)
-    if partitions is not None and prepared.rdd.getNumPartitions() != partitions:
-        prepared = prepared.repartition(partitions)
-    return prepared
+    return prepared if partitions is None else prepared.repartition(partitions)
 
 
 def publish_input(prepared: DataFrame, view: str = "input", persist: bool = False) -> DataFrame:

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyframe import layout
+from tallyframe.functions.local import local_table
 
 COUNT, MEDIAN, REFINE, RATIO = "count", "median", "refine", "ratio"
 KINDS = (COUNT, MEDIAN, REFINE, RATIO)
@@ -126,7 +127,8 @@ class Catalog:
             (i, c.name, c.kind, c.parent, c.predicate, c.num, c.den, c.note)
             for i, c in enumerate(self)
         ]
-        return spark.createDataFrame(
+        return local_table(
+            spark,
             rows,
             "ordinal int, cell string, kind string, parent string, predicate string, "
             "num string, den string, note string",
@@ -143,7 +145,8 @@ class Catalog:
             (i, c.name, c.kind, c.root, c.depth, bind(c.predicate, bounds or {}), c.num, c.den, c.problem)
             for i, c in enumerate(self.select(names))
         ]
-        return spark.createDataFrame(
+        return local_table(
+            spark,
             rows,
             "ordinal int, cell string, kind string, root string, depth int, predicate string, "
             "num string, den string, problem string",

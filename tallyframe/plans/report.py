@@ -19,12 +19,13 @@ from tallyframe.operators.counts import (
     count_levels,
     group_counts,
     spread_levels,
-    tune_codegen,
+    lenient,
+    wrapped,
     zero_rows,
 )
 from tallyframe.operators.medians import exact_medians
 from tallyframe.operators.reconcile import accuracy_summary, compare_expected, report_rows
-from tallyframe.operators.subsets import is_listed, listed_subset, subset_list
+from tallyframe.operators.subsets import STANDARD, is_listed, listed_subset, subset_list
 from tallyframe.plans.catalog import COUNT, MEDIAN, RATIO, Catalog, ResolvedCell, bind
 
 
@@ -46,10 +47,15 @@ MODES = {
 
 
 def invalid_conditions(data: DataFrame, conditions: Iterable[str]) -> set[str]:
-    """Conditions that Spark cannot analyze as a filter of the data. Runs no job."""
+    """Conditions that Spark cannot analyze as a filter of the data, in the form in which they run. Runs no job.
+
+    A text has to stand on its own too, or unbalanced parentheses would slip through the added ones.
+    """
 
     def rejected(texts: list[str]) -> set[str]:
-        fields = data.select(*[F.expr(text) for text in texts]).schema.fields
+        with lenient(data.sparkSession):
+            fields = data.select(*[F.expr(text) for text in texts]).schema.fields
+            data.where(" AND ".join(wrapped(text) for text in texts))
         return {t for t, f in zip(texts, fields) if f.dataType.typeName() not in ("boolean", "void")}
 
     texts = list(dict.fromkeys(conditions))
@@ -88,7 +94,8 @@ class CohortReport:
     data: prepared participant records
     bounds: values of the catalog's ``:name`` window bounds
     mode: ``default``, ``subsets``, ``national`` or ``both``
-    subsets: codes to list; without it every code found that is at most two long
+    subsets: codes to list; without it every code found that is at most ``max_code_length`` long
+    max_code_length: two for the standard subset column, no bound for any other, unless given
     cells: names to run, in this order; without it the whole catalog
     national_medians: also report medians of the nation in mode ``subsets``
     """
@@ -103,6 +110,7 @@ class CohortReport:
         subset_column: str = layout.SUBSET_COLUMN,
         cells: Iterable[str] | None = None,
         national_medians: bool = False,
+        max_code_length: int | None = STANDARD,
     ):
         if mode not in MODES:
             raise ValueError(f"unknown mode {mode!r}, use one of {', '.join(MODES)}")
@@ -115,6 +123,7 @@ class CohortReport:
         self.mode = mode
         self.subsets = None if subsets is None else list(subsets)
         self.subset_column = subset_column
+        self.max_code_length = max_code_length
         self.levels = dict(MODES[mode].levels)
         self.total = MODES[mode].total
         if national_medians:
@@ -154,11 +163,11 @@ class CohortReport:
         return {key: f"m{i}" for i, key in enumerate(keys)}
 
     def _key(self) -> Column:
-        return listed_subset(self.subset_column, self.subsets)
+        return listed_subset(self.subset_column, self.subsets, self.max_code_length)
 
     def _listed_rows(self) -> DataFrame:
         """Rows that count where only listed subsets do."""
-        return self.data.where(is_listed(self.subset_column, self.subsets))
+        return self.data.where(is_listed(self.subset_column, self.subsets, self.max_code_length))
 
     def _wide_counts(self) -> DataFrame:
         conditions = {column: text for text, column in self._counters.items()}
@@ -173,7 +182,7 @@ class CohortReport:
         if not conditions:
             if self.subsets is not None:
                 return zero_rows(self.spark, [], self.subsets)
-            found = spread_levels(subset_list(self.data, self.subset_column))
+            found = spread_levels(subset_list(self.data, self.subset_column, self.max_code_length))
             return found.unionByName(zero_rows(self.spark, [])).distinct()
         data = self._listed_rows() if self.total == "listed" else self.data
         return count_levels(data, conditions, self._key(), self.subsets, self.total)
@@ -203,8 +212,6 @@ class CohortReport:
     @cached_property
     def _wide(self) -> DataFrame:
         """One row per level holding every distinct count and median."""
-        counters, middles = list(self._counters.values()), list(self._middles.values())
-        tune_codegen(self.spark, len(counters) + len(middles))
         counts, medians = self._wide_counts(), self._wide_medians()
         if medians is None:
             return counts

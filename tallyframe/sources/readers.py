@@ -74,7 +74,8 @@ def parse_expected(lines: DataFrame, order: Sequence[Column] = ()) -> DataFrame:
     """Expected values ``(cell, subset, expected)`` from ``cell-subset = value`` lines.
 
     A line that does not split into exactly two pieces has an empty expected value, and
-    a key without subset is national. With ``order`` the last line of a key counts.
+    a key without subset is national. One row per key: with ``order`` its last line counts,
+    without it the largest text.
     """
     pieces = F.split("value", " = ")
     cell, subset = split_report_key(pieces[0])
@@ -85,7 +86,7 @@ def parse_expected(lines: DataFrame, order: Sequence[Column] = ()) -> DataFrame:
         *[c.alias(f"_order{i}") for i, c in enumerate(order)],
     )
     if not order:
-        return parsed
+        return parsed.groupBy("cell", "subset").agg(F.max("expected").alias("expected"))
     rank = F.struct(*[f"_order{i}" for i in range(len(order))])
     return parsed.groupBy("cell", "subset").agg(F.max_by("expected", rank).alias("expected"))
 

@@ -96,13 +96,10 @@ def _reference() -> str:
 
 PERIODS = f"""WITH {_reference()},
 periods AS (
-  SELECT 'Current' AS period, Measure AS measure, s AS "start", t AS "end", CAST(m.MeasureID AS INTEGER) AS sequence
-  FROM measures m LEFT JOIN cohorts c ON m.MeasureID = c.MeasureID
-  WHERE ReportTypeID = 1 AND QuarterID = 13 AND IsActive = 1
-  UNION ALL
-  SELECT 'Previous', Measure, s, t, CAST(m.MeasureID + 12 AS INTEGER)
-  FROM measures m LEFT JOIN cohorts c ON m.MeasureID = c.MeasureID
-  WHERE ReportTypeID = 1 AND QuarterID = 13 - 1 AND IsActive = 1
+  SELECT CASE QuarterID WHEN 13 THEN 'Current' WHEN 12 THEN 'Previous' END AS period, m.Measure AS measure,
+    c.s AS "start", c.t AS "end", CAST(m.MeasureID + CASE QuarterID WHEN 12 THEN 12 ELSE 0 END AS INTEGER) AS sequence
+  FROM cohorts c JOIN measures m USING (MeasureID)
+  WHERE QuarterID IN (12, 13) AND IsActive = 1 AND ReportTypeID = 1
 )"""
 
 

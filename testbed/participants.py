@@ -71,15 +71,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_scan(scan: DataFrame) -> DataFrame:
-    """A scan with fewer splits than cores, spread over them; larger scans stay as they are."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def participants_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw participant records, all columns as strings."""
-    items = spread_scan(read_table(spark, sf_dir, "lineitem"))
+    items = read_table(spark, sf_dir, "lineitem")
     joined = (
         items.join(read_table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(read_table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))

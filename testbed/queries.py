@@ -175,13 +175,8 @@ def count_national(spark, sf_dir):
 
 
 def count_by_subset(spark, sf_dir):
-    data = participants(spark, sf_dir).where(conditions("F04")["F04"])
-    return (
-        data.groupBy(listed_subset().alias("subset"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("subset IS NOT NULL")
-        .orderBy("subset")
-    )
+    wide = count_levels(participants(spark, sf_dir), conditions("F04"), listed_subset())
+    return counted(wide.where("NOT national AND F04 > 0")).select("subset", "n").orderBy("subset")
 
 
 def count_zero_fill(spark, sf_dir):

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 from compare import difference, duck
+from testbed.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
@@ -17,10 +18,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) <= set(entry_point.oracle_sql()) and set(QUERIES) <= set(entry_point.queries())
 
 
-@pytest.mark.parametrize("name", list(entry_point.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     frame = entry_point.queries()[name](spark, SF_DIR)
     assert difference(frame, con, entry_point.oracle_sql()[name]) is None
