@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import chat, mixing, neighbours, packing, perplexity, rules, secrets, simhash, suffixes, toxicity
 from .common import documents
+from .oracles import ORACLES as ORACLES
 
 
 def tokenizer_file() -> str:
@@ -75,6 +76,3 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"pipeline": pipeline, "op1_packing": op1_packing, "op2_suffixes": op2_suffixes, "op3_rules": op3_rules, "op4_secrets": op4_secrets, "op5_mixing": op5_mixing, "op6_simhash": op6_simhash, "op7_quality": op7_quality, "op8_toxicity": op8_toxicity, "op9_neighbours": op9_neighbours, "op10_chat": op10_chat}
-
-#: DuckDB equivalents.
-ORACLES: dict[str, str] = {}
