@@ -33,6 +33,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def packed(docs: DataFrame, **keys: Column) -> DataFrame:
+    """All columns of ``docs`` as the struct ``row_`` beside the ``keys``, so that no name of theirs can clash with others; ``row_.*`` gives them back."""
+    return docs.select(F.struct(F.col("*")).alias("row_"), *[c.alias(n) for n, c in keys.items()])
+
+
 def words(text: Column) -> Column:
     """Runs of characters other than blank and U+0009 to U+000D; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import n_words, parts, saved, words
+from .common import n_words, packed, parts, saved, words
 
 #: Points of the lattice and the multiplier nearest to 2^31 / golden ratio that is odd.
 POINTS = 1 << 31
@@ -168,13 +168,15 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     sums = _taken(docs, ["doc_id", "row_hash", "copy"], **options).groupBy("doc_id", "row_hash").agg(
         F.max("size").alias("size"), F.sum("taken").alias("taken")
     ).where("taken > 0").withColumnsRenamed({"doc_id": "m_id", "row_hash": "m_hash"})
-    texts = docs.withColumn("m_row", _row_hash()).dropDuplicates(["doc_id", "m_row"])
-    same = F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("m_row") == F.col("m_hash"))
+    held = packed(docs, id_=F.col("doc_id"), hash_=_row_hash()).dropDuplicates(["id_", "hash_"])
+    same = F.col("id_").eqNullSafe(F.col("m_id")) & (F.col("hash_") == F.col("m_hash"))
     rest = F.col("taken") % F.col("size")
     runs = F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))).alias("run")
-    rows = texts.join(sums, same).select(*[F.col(c) for c in docs.columns], "size", "taken", runs)
+    rows = held.join(sums, same).select("row_", "size", "taken", runs)
     whole = F.col("run") <= F.floor(F.col("taken") / F.col("size"))
-    cut = F.array_join(F.slice(words(F.col("text")), 1, rest.cast("int")), " ")
-    text = F.when(whole, F.col("text")).otherwise(cut)
-    changed = {"text": text} | ({"n_chars": F.char_length(text).cast("long")} if "n_chars" in docs.columns else {})
-    return rows.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+    cut = F.array_join(F.slice(words(F.col("row_.text")), 1, rest.cast("int")), " ")
+    text = F.when(whole, F.col("row_.text")).otherwise(cut)
+    row = F.col("row_").withField("text", text)
+    if "n_chars" in docs.columns:
+        row = row.withField("n_chars", F.char_length(text).cast("long"))
+    return rows.select(row.alias("row_")).select("row_.*")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import parts, saved
+from .common import packed, parts, saved
 
 ORDER = 4
 START, END = "\x02", "\x03"
@@ -203,6 +203,7 @@ def classify(
     docs: DataFrame, labels: DataFrame, *, quantile: float = 0.99, slack: float = 1.25, broadcast_grams: int = 2_000_000, broadcast_labels: int = 1_000_000
 ) -> DataFrame:
     """``doc_id, lang, text_hash, n_grams, perplexity, limit, kept`` for every document."""
+    docs = docs.select("doc_id", "text", "lang")
     marks = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").alias("l_id")).agg(F.min("quality").alias("q")).where("q = 1").select("l_id")
     small = marks.count() <= broadcast_labels
     marks = F.broadcast(marks) if small else marks
@@ -225,5 +226,5 @@ def classify(
 def kept_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that stay, with their columns. Those that go are looked up by id and a hash of their text."""
     gone = classify(docs, labels, **options).where("NOT kept").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_hash"))
-    return docs.join(gone, same, "left_anti")
+    held = packed(docs, id_=F.col("doc_id").cast("long"), hash_=F.xxhash64("text"))
+    return held.join(gone, F.col("id_").eqNullSafe(F.col("gone_id")) & (F.col("hash_") == F.col("gone_hash")), "left_anti").select("row_.*")

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import packed, saved
 
 NAMES = r"pass(?:word|wd|phrase)|secret|token|api[_-]?key|access[_-]?key|credentials?"
 RUN = r"[A-Za-z0-9+/_.@~-]"
@@ -128,7 +128,10 @@ def redacted(docs: DataFrame, findings: DataFrame | None = None, *, mark: str =
     """``docs`` with every secret's value replaced by ``mark``; ``n_chars`` follows the text where it is a column."""
     judged = scan(docs, findings, **options).where("secret").select(F.col("doc_id").alias("s_id"), F.col("text_hash").alias("s_hash"), value(F.col("candidate")).alias("v"))
     values = judged.groupBy("s_id", "s_hash").agg(F.array_sort(F.collect_set("v"), lambda a, b: F.when(F.char_length(a) == F.char_length(b), 0).otherwise(F.signum(F.char_length(b) - F.char_length(a))).cast("int")).alias("vs"))
-    same = F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.xxhash64("text") == F.col("s_hash"))
-    text = F.when(F.col("vs").isNull(), F.col("text")).otherwise(F.aggregate("vs", F.col("text"), lambda t, v: F.replace(t, v, F.lit(mark))))
-    changed = {"text": text} | ({"n_chars": F.when(F.col("vs").isNull(), F.col("n_chars")).otherwise(F.char_length(text).cast("long"))} if "n_chars" in docs.columns else {})
-    return docs.join(values, same, "left").select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+    held = packed(docs, id_=F.col("doc_id"), hash_=F.xxhash64("text"))
+    same = F.col("id_").eqNullSafe(F.col("s_id")) & (F.col("hash_") == F.col("s_hash"))
+    text = F.aggregate("vs", F.col("row_.text"), lambda t, v: F.replace(t, v, F.lit(mark)))
+    row = F.col("row_").withField("text", F.when(F.col("vs").isNull(), F.col("row_.text")).otherwise(text))
+    if "n_chars" in docs.columns:
+        row = row.withField("n_chars", F.when(F.col("vs").isNull(), F.col("row_.n_chars")).otherwise(F.char_length(text).cast("long")))
+    return held.join(values, same, "left").select(row.alias("row_")).select("row_.*")

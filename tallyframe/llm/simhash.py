@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, parts, saved, words
+from .common import LAST_ID, packed, parts, saved, words
 from .components import components
 
 BLOCKS = 4
@@ -221,6 +221,6 @@ def one_of_each(docs: DataFrame, *, shingle: int = 3, few: int = 32, rows_a_task
     """``docs`` with one row of each component: the smallest id's, of rows with that id the smallest text hash's."""
     _, by_fp = _grouped(docs, shingle, few, rows_a_task)
     stay = by_fp.select(F.col("component_row.id").alias("stay_id"), F.col("component_row.hash").alias("stay_hash")).distinct()
-    keyed = docs.withColumns({"row_id_": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "row_hash_": F.xxhash64("text")})
-    same = (F.col("row_id_") == F.col("stay_id")) & (F.col("row_hash_") == F.col("stay_hash"))
-    return keyed.join(stay, same, "left_semi").dropDuplicates(["row_id_", "row_hash_"]).select(*[F.col(c) for c in docs.columns])
+    held = packed(docs, id_=F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), hash_=F.xxhash64("text"))
+    same = (F.col("id_") == F.col("stay_id")) & (F.col("hash_") == F.col("stay_hash"))
+    return held.join(stay, same, "left_semi").dropDuplicates(["id_", "hash_"]).select("row_.*")

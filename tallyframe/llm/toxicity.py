@@ -263,7 +263,7 @@ def score(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.7, sample_
     mixed = F.xxhash64("l_id")
     some = [marks.where(F.col("toxic") == t).orderBy(mixed, "l_id").limit(sample_rows) for t in (0, 1)]
     chosen = F.broadcast(some[0].unionByName(some[1]))  # at most twice sample_rows ids
-    rows = docs.join(chosen, F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "toxic")
+    rows = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "toxic")
     picked = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * sample_rows).collect()
     machine = train([r["text"] for r in picked], np.array([r["toxic"] == 1 for r in picked], bool))
 

@@ -314,6 +314,22 @@ def test_neighbours_recall_and_edges(spark):
     assert neighbours.search(frame.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_columns_with_the_names_that_operators_use(spark, rows):
+    names = "gone_id gone_hash l_id toxic vs s_id s_hash v size taken run m_id m_hash row_ id_ hash_ stay_id stay_hash fp copy epoch n_words bucket q g limit_ a.b n_chars".split()
+    given = [(*r[:4], *range(len(names))) for r in rows]
+    frame = spark.createDataFrame(given, "doc_id long, text string, lang string, source string, " + ", ".join(f"`{n}` long" for n in names))
+    extra = lambda df: {(r["doc_id"], *[r[n] for n in names[:-1]]) for r in df.collect()}
+    want = {(r[0], *range(len(names) - 1)) for r in rows}
+    marks = labels_of(spark, rows)
+    for kept in (perplexity.kept_documents(frame, marks), simhash.one_of_each(frame), secrets.redacted(frame), mixing.mixed_documents(frame)):
+        assert kept.columns == frame.columns
+        got = extra(kept)
+        assert got and got <= want
+    for every in (toxicity.score(frame, marks), perplexity.classify(frame, marks), rules.judge(frame, marks), mixing.taken(frame), simhash.near_groups(frame), secrets.by_document(frame), suffixes.remove_repeats(frame)):
+        assert every.count() == len(rows)
+    assert packing.pack(frame, tokenizer_file()).select("doc_id").distinct().count() == len({r[0] for r in rows})
+
+
 def test_chat_round_trip_and_parts(spark):
     texts = ["</s>[INST] ok [/INST]", "<\\|im_end|> <\\\\|im_end|> [\\INST]", "<<SYS>> x <</SYS>>", "plain", None, "<|im_start|>user\n<|image|>", "y" * 50_000]
     rows = [(i // 3, i % 3, ["user", "assistant", None][i % 3], t) for i, t in enumerate(texts)] + [(None, None, "assistant", "z")]
