@@ -229,6 +229,27 @@ def test_simhash_fingerprints(docs, none, rows):
     assert simhash.near_groups(none).count() == 0 and simhash.one_of_each(none).count() == 0
 
 
+@pytest.mark.parametrize("few", [2, 8])
+def test_one_of_each_links_from_similarity_0_8_up_and_no_other(spark, few):
+    rng, texts, i = random.Random(5), {}, 0
+    for c in range(30):  # runs of changed words: similarities from about 0.6 to 0.95
+        base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        texts[i], i = " ".join(base), i + 1
+        for n in (2, 6, 10, 14, 20, 30, 40):
+            near = list(base)
+            near[c : c + n] = [f"v{rng.randrange(10**6)}" for _ in range(n)]
+            texts[i], i = " ".join(near).upper() if n == 2 else " ".join(near), i + 1
+    sets = {k: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for k, t in texts.items() for w in [t.lower().split()]}
+    links = {(a, b) for a in sets for b in range(a // 8 * 8, a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    root = {k: k for k in sets}
+    for _ in range(10):
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"] for r in simhash.one_of_each(frame, few=few).collect()}
+    assert got == set(root.values()) and 30 < len(got) < 200
+
+
 @pytest.mark.parametrize("few", [2, 32])
 def test_simhash_links_are_exact(spark, few):
     rng = random.Random(3)
