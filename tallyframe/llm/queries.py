@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, neighbours, packing, perplexity, rules, secrets, simhash, suffixes, toxicity
+from . import chat, concat, divergence, mixing, neighbours, packing, perplexity, rules, secrets, simhash, suffixes, toxicity, tries
 from .common import documents
 from .oracles import ORACLES as ORACLES
 
 
-def tokenizer_file() -> str:
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +68,19 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(turns))
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return tries.trie(tries.with_shared_heads(tries.turn_paths(rows)))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+def op13_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return concat.pack(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"), size=1024)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of ``corpus_pipeline``, which stands beside this package and goes with it."""
     import corpus_pipeline
@@ -75,4 +88,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {"pipeline": pipeline, "op1_packing": op1_packing, "op2_suffixes": op2_suffixes, "op3_rules": op3_rules, "op4_secrets": op4_secrets, "op5_mixing": op5_mixing, "op6_simhash": op6_simhash, "op7_quality": op7_quality, "op8_toxicity": op8_toxicity, "op9_neighbours": op9_neighbours, "op10_chat": op10_chat}
+QUERIES = {"pipeline": pipeline, "op1_packing": op1_packing, "op2_suffixes": op2_suffixes, "op3_rules": op3_rules, "op4_secrets": op4_secrets, "op5_mixing": op5_mixing, "op6_simhash": op6_simhash, "op7_quality": op7_quality, "op8_toxicity": op8_toxicity, "op9_neighbours": op9_neighbours, "op10_chat": op10_chat, "op11_trie": op11_trie, "op12_divergence": op12_divergence, "op13_concat": op13_concat}

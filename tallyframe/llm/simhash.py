@@ -11,12 +11,11 @@ components follow by alternating large and small stars.
 Defined results: null and empty texts have the fingerprint zero and are linked like any other; null ids form
 a component's smallest id only if there is no other; repeated rows have equal fingerprints. Only ``doc_id`` and ``text`` are read.
 
-``one_of_each``, the pipeline's stage, links by the similarity of word sets instead and verifies each link: see there.
+``one_of_each``, the pipeline's stage, keeps one document of each component.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,9 +30,6 @@ BLOCKS = 4
 WIDTH = 64 // BLOCKS
 KEYS = BLOCKS * (1 + 64 - WIDTH)
 KEPT = np.uint64((1 << (64 - WIDTH)) - 1)
-#: Bands of smallest hash values and the values in each; an odd factor that mixes them.
-BANDS, ROWS = 20, 6
-MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def shingle_hashes(text: Column, n: int = 3) -> Column:
@@ -223,98 +219,10 @@ def near_groups(docs: DataFrame, *, shingle: int = 3, few: int = 32, rows_a_task
     )
 
 
-def _minima(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A document's distinct shingles as their number and digest, and the keys of its bands of smallest hash values."""
-    rng = np.random.default_rng(42)
-    factors = rng.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
-    shifts = rng.integers(0, 1 << 63, BANDS * ROWS, np.uint64)
-    names = ["id_", "hash_"]
-    for batch in batches:
-        lists = batch.column("hashes")
-        flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-        ends = lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
-        sets = [np.unique(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])]
-        sizes = np.array([len(x) for x in sets], np.int64)
-        digests = [int.from_bytes(hashlib.blake2b(x.tobytes(), digest_size=8).digest(), "little", signed=True) for x in sets]
-        keys = np.zeros((len(sets), BANDS), np.uint64)
-        full, begin = np.flatnonzero(sizes), 0
-        upto = np.cumsum(sizes[full])
-        while begin < len(full):  # some documents at a time, which the processor's cache holds
-            before = upto[begin - 1] if begin else 0
-            stop = max(begin + 1, int(np.searchsorted(upto, before + 65_536, "right")))
-            rows = full[begin:stop]
-            values, starts = np.concatenate([sets[i] for i in rows]), np.cumsum(sizes[rows]) - sizes[rows]
-            for k in range(BANDS * ROWS):
-                least = np.minimum.reduceat(values * factors[k] + shifts[k], starts)
-                keys[rows, k // ROWS] = (keys[rows, k // ROWS] ^ least ^ np.uint64(k)) * MIX
-            begin = stop
-        of = np.where(sizes > 0, BANDS, 0)
-        bands = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(of)]).astype(np.int32), pa.array(keys[sizes > 0].ravel().view(np.int64)))
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(digests, pa.int64()), pa.array(sizes), bands], names=[*names, "set_id", "n", "bands"])
-
-
-def _similar(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Of the sets ``a, b`` those whose exact Jaccard similarity is ``similarity`` or more. ``texts``: ``set_id`` and a text of each set."""
-    asked = pairs.select(F.col("a").alias("of")).unionByName(pairs.select(F.col("b").alias("of"))).distinct()
-    sets = saved(texts.join(asked, F.col("set_id") == F.col("of"), "left_semi").select("set_id", F.array_distinct(shingle_hashes(F.col("text"), shingle)).alias("set")))
-    one = pairs.join(sets.select(F.col("set_id").alias("a"), F.col("set").alias("set_a")), "a")
-    both = one.join(sets.select(F.col("set_id").alias("b"), F.col("set").alias("set_b")), "b")
-    common = both.select("a", "b", (F.size("set_a") + F.size("set_b")).alias("sum"), F.size(F.array_intersect("set_a", "set_b")).alias("common"))
-    return saved(common.where(F.col("common") >= similarity * (F.col("sum") - F.col("common"))).select("a", "b"))
-
-
-def _verified(keys: DataFrame, texts: DataFrame, shingle: int, similarity: float, few: int) -> DataFrame:
-    """Edges ``a, b`` between sets that share a key (``key, set_id, n``) and are similar.
-
-    Of a key with up to ``few`` sets all pairs are verified. Larger keys go through rounds: sets are verified with leaders; leaders
-    and those that are similar to one leave the key. The leaders of a round are four times those of the one before,
-    so that keys whose sets aren't similar end as well; nothing is left out.
-    """
-    near = lambda x, y: F.least(F.col(x), F.col(y)) >= similarity * F.greatest(F.col(x), F.col(y))
-    edges, leaders = None, 1
-    while True:
-        sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
-        keys = saved(keys.join(sizes, "key").select("key", "set_id", "n", "sets"))
-        large = keys.where(F.col("sets") > few).withColumn("slot", F.pmod(F.xxhash64("set_id", "key", F.lit(leaders)), F.lit(leaders)))
-        small = keys.where(F.col("sets") <= few).select("key", "n", F.col("set_id").alias("a"))
-        pairs = small.join(small.select("key", F.col("n").alias("m"), F.col("a").alias("b")), "key").where("a < b").where(near("n", "m")).select("a", "b")
-        first = F.min(F.struct(F.xxhash64("set_id", "key").alias("order"), F.col("set_id").alias("a"), F.col("n").alias("m"))).alias("first")
-        led = saved(large.groupBy("key", "slot").agg(first).select("key", "first.a", "first.m"))
-        tried = large.join(led, "key").where("a <> set_id").where(near("n", "m"))
-        pairs = saved(pairs.unionByName(tried.select("a", F.col("set_id").alias("b"))).distinct())
-        found = _similar(pairs, texts, shingle, similarity)
-        edges = found if edges is None else edges.unionByName(found)
-        if led.isEmpty():
-            return edges
-        gone = tried.join(found.select("a", F.col("b").alias("set_id")), ["a", "set_id"])
-        left = gone.select("key", "set_id").unionByName(led.select("key", F.col("a").alias("set_id"))).distinct()
-        keys = saved(large.select("key", "set_id", "n").join(left, ["key", "set_id"], "left_anti"))
-        leaders *= 4
-
-
-def one_of_each(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, few: int = 8) -> DataFrame:
-    """``docs`` with one row of each group of near copies: the smallest id's, of rows with that id the smallest text hash's.
-
-    Two documents are linked if the Jaccard similarity of their sets of ``shingle`` lower-cased words is ``similarity`` or more, which is
-    verified exactly for all links. At 0.8 two 64-bit fingerprints differ in some ten bits, far outside any ball that can be
-    emitted, so a document has several fingerprints here: ``BANDS`` of ``ROWS`` smallest values each. Two sets of similarity
-    s share one with a chance of 1 - (1 - s ** ROWS) ** BANDS: 0.998 at 0.8, more above. Equal sets are one; so are
-    texts without words. A set of fewer words than ``shingle`` has the whole sequence as its shingle.
-    """
-    id_, hash_ = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id_"), F.xxhash64("text").alias("hash_")
-    found = docs.select(id_, hash_, shingle_hashes(F.col("text"), shingle).alias("hashes")).mapInArrow(_minima, "id_ long, hash_ long, set_id long, n long, bands array<long>")
-    sets = saved(found.groupBy("set_id").agg(F.min(F.struct("id_", "hash_")).alias("row"), F.first("n").alias("n"), F.first("bands").alias("bands")))
-    rows = sets.select("set_id", F.col("row.id_").alias("of_id"), F.col("row.hash_").alias("of_hash"))
-    keys = sets.select(F.explode("bands").alias("key"), "set_id", "n")
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1").select("key")
-    keys = saved(keys.join(shared, "key", "left_semi"))
-    # Texts of the sets that share a key, once each: rounds read no others.
-    asked = rows.join(keys.select("set_id").distinct(), "set_id", "left_semi")
-    texts = docs.select(id_, hash_, "text").join(asked, (F.col("id_") == F.col("of_id")) & (F.col("hash_") == F.col("of_hash")))
-    texts = saved(texts.select("set_id", "text").dropDuplicates(["set_id"]))
-    roots = components(_verified(keys, texts, shingle, similarity, few))
-    named = sets.join(roots, sets["set_id"] == roots["node"], "left").withColumn("root", F.coalesce("root", "set_id"))
-    stay = named.groupBy("root").agg(F.min("row").alias("first")).select(F.col("first.id_").alias("stay_id"), F.col("first.hash_").alias("stay_hash"))
-    held = packed(docs, id_=id_, hash_=hash_)
+def one_of_each(docs: DataFrame, *, shingle: int = 3, few: int = 32, rows_a_task: int = 1_500_000) -> DataFrame:
+    """``docs`` with one row of each component of ``near_groups``: the smallest id's, of rows with that id the smallest text hash's."""
+    _, by_fp = _grouped(docs, shingle, few, rows_a_task)
+    stay = saved(by_fp.select(F.col("component_row.id").alias("stay_id"), F.col("component_row.hash").alias("stay_hash")).distinct())
+    held = packed(docs, id_=F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), hash_=F.xxhash64("text"))
     same = (F.col("id_") == F.col("stay_id")) & (F.col("hash_") == F.col("stay_hash"))
     return held.join(stay, same, "left_semi").dropDuplicates(["id_", "hash_"]).select("row_.*")
