@@ -15,7 +15,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word similarity of 0.8 or more, verified."""
+    """One document of each group that fingerprints link: three-word shingles, at most three differing bits."""
     return simhash.one_of_each(docs)
 
 
