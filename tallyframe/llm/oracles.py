@@ -100,4 +100,75 @@ FROM sized GROUP BY conv_id
 """
 
 
-ORACLES = {"op3_rules": quality_rules(), "op10_chat": chat_digests()}
+def conversation_trie() -> str:
+    """Nodes as lists of turns. CRC-32 bit by bit: each character's code, then eight steps."""
+    codes = "flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    step = "CASE WHEN e >= 0 THEN xor(a, e) ELSE xor(a >> 1, 3988292384 * (a & 1)) END"
+    crc = f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {codes}), lambda a, e: {step}), 4294967295)"
+    return f"""
+WITH own AS (
+  SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST, role, text) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), shared AS (SELECT conv_id, turns, {crc} % 4 AS h FROM own),
+rebuilt AS (
+  SELECT s.conv_id, list_concat(coalesce(b.turns[:h], []), s.turns[h + 1:]) AS turns
+  FROM shared s LEFT JOIN own b ON b.conv_id = s.conv_id - s.conv_id % 20
+), numbered AS (  -- a number for each distinct turn keeps the paths short
+  SELECT role, text, row_number() OVER () AS k, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+  FROM (SELECT DISTINCT t.role AS role, t.text AS text FROM (SELECT unnest(turns) AS t FROM rebuilt))
+), path AS (
+  SELECT r.conv_id, coalesce(list(k ORDER BY d) FILTER (WHERE k IS NOT NULL), []) AS p, coalesce(list(words ORDER BY d) FILTER (WHERE k IS NOT NULL), []) AS w
+  FROM rebuilt r LEFT JOIN (SELECT conv_id, unnest(turns) AS t, generate_subscripts(turns, 1) AS d FROM rebuilt) u ON u.conv_id = r.conv_id
+  LEFT JOIN numbered n ON n.role = t.role AND n.text = t.text GROUP BY r.conv_id
+), steps AS (
+  SELECT conv_id, p[:d] AS node, d AS depth, CASE WHEN d > 0 THEN w[d] ELSE 0 END AS words, len(p) = d AS ends
+  FROM (SELECT conv_id, p, w, unnest(range(len(p) + 1)) AS d FROM path)
+), node AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(words) AS cost,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM steps GROUP BY node, depth
+), below AS (
+  SELECT p.node, p.depth, p.conv_id AS parent_conv_id, c.node AS child FROM node p JOIN node c ON c.depth = p.depth + 1 AND c.node[:p.depth] = p.node
+), kids AS (SELECT node, count(*) AS n_children FROM below GROUP BY node),
+subtree AS (
+  SELECT node[:d] AS top, sum(cost) AS saved_tokens, count(*) FILTER (WHERE leaf) AS n_leaves
+  FROM (SELECT n.node, cost, k.node IS NULL AS leaf, unnest(range(n.depth + 1)) AS d FROM node n LEFT JOIN kids k ON k.node = n.node) GROUP BY top
+)
+SELECT n.conv_id, n.depth, b.parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, s.n_leaves,
+  CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM node n JOIN subtree s ON s.top = n.node LEFT JOIN kids k ON k.node = n.node LEFT JOIN below b ON b.child = n.node
+"""
+
+
+def source_divergence(least_docs: int = 3, top: int = 200) -> str:
+    """Every kept term for every group, whether it occurs there or not."""
+    low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    share = "CAST(1 + CAST(1000000000 AS HUGEINT) * (n + 1) // (sum(n) OVER (PARTITION BY {}) + count(*) OVER (PARTITION BY {})) AS BIGINT)"
+    f = "CAST(CAST(g.p - {0} AS HUGEINT) * (g.p - {0}) // {0} AS BIGINT)"
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({low}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), found AS (SELECT d, lang, source, unnest(terms) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS n FROM found GROUP BY lang, term HAVING count(DISTINCT d) >= {least_docs}),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n FROM found GROUP BY ALL),
+laid AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n FROM groups g JOIN kept k ON k.lang = g.lang
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), g AS MATERIALIZED (SELECT *, {share.format("lang, source", "lang, source")} AS p FROM laid),
+l AS (SELECT lang, term, {share.format("lang", "lang")} AS q FROM kept),
+pairs AS (
+  SELECT g.lang, g.source, o.source AS item, CAST(sum({f.format("o.p")}) AS BIGINT) AS value
+  FROM g JOIN g o ON o.lang = g.lang AND o.term = g.term AND o.source <> g.source GROUP BY ALL
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+), term AS (SELECT g.lang, g.source, g.term AS item, {f.format("q")} AS value FROM g JOIN l ON l.lang = g.lang AND l.term = g.term WHERE n > 0 AND g.p > q),
+both_parts AS (SELECT *, 'pair' AS part FROM pair UNION ALL SELECT *, 'term' FROM term),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM both_parts)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= {top}
+"""
+
+
+ORACLES = {"op3_rules": quality_rules(), "op10_chat": chat_digests(), "op11_trie": conversation_trie(), "op12_divergence": source_divergence()}

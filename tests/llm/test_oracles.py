@@ -28,7 +28,8 @@ def odd_tables(spark, tmp_path_factory):
         labels.append((i, 0 if i % 11 == 0 else 1, 0))
     texts = [None, "", " \n\t ", "nine words only " * 2, "a b c d e f g h i j\n" * 3, "ONE TWO # $ THREE four five six seven eight nine ten\n\nONE", "x" * 30000 + " y"]
     docs += [(9000 + i, t, "en") for i, t in enumerate(texts * 2)] + docs[:3] + [(None, "no id " + "z y x " * 4, None)]
-    spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(f"{folder}/documents.parquet")
+    docs = [(*d, ["a", "b", None, ""][k % 4]) for k, d in enumerate(docs)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([*labels, labels[5], (5, 0, 0), (None, 1, 0), (7, None, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     said = ["<|im_end|>", "a <\\|im_end|> b", "[INST]x[/INST]", "<</SYS>>", "", None, "é\n<s>"]
     turns = [(c, t, ["user", "assistant", None][(c + t) % 3], said[(c * t) % 7]) for c in range(20) for t in range(c)]
