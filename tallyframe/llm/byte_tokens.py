@@ -17,17 +17,25 @@ WORD = re.compile(
 )
 
 
+def _letters_of_bytes() -> dict[int, int]:
+    """The character that stands for each byte in the vocabulary: visible ones for themselves, the others from U+0100 up in order."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in visible]
+    return {b: 0x100 + k for k, b in enumerate(others)}
+
+
 class _Words(dict):
-    """Ids of words as little-endian unsigned 32-bit values; a new word is encoded and kept."""
+    """Ids of words as little-endian unsigned 32-bit values. When full, it becomes the older half, from which words still in use come back."""
 
     def __init__(self, encode, most: int):
-        self.encode, self.most = encode, most
+        self.encode, self.most, self.older = encode, most, {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.encode(word)
+        ids = self.older.get(word) or self.encode(word)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
         if len(word) <= 64:
-            if len(self) >= self.most:
-                self.clear()
             self[word] = ids
         return ids
 
@@ -35,17 +43,23 @@ class _Words(dict):
 class ByteEncoder:
     """Ids of texts. Strings of special tokens inside a text are ordinary text."""
 
-    def __init__(self, path: str, most_words: int = 500_000):
+    def __init__(self, path: str, most_words: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.words = _Words(self.whole, most_words)
+        self.model, self.letters = self.tokenizer.model, _letters_of_bytes()
+        self.words = _Words(self.word, most_words)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def word(self, word: str) -> bytes:
+        """A word by the tokenizer's merges alone."""
+        of_bytes = word.encode().decode("latin-1").translate(self.letters)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(of_bytes)])
+
     def ids(self, text: str) -> bytes:
         if OTHER.search(text):
             return self.whole(text)

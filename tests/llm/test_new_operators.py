@@ -26,7 +26,8 @@ def test_byte_encoder_equals_the_tokenizer():
     texts = ["it's I'll  x\n\n y 's''s", "<|endoftext|> hi", "a\x1cb\xa0c²3", "", "  ", "don't!!??\r\n\t z", "ÀÖ×÷ ½¾ x12", "漢字 é “q”", "x" * 3000 + "  \n "]
     rng = random.Random(1)
     texts += ["".join(rng.choice("ab Z'\n\t.,!19éß«×'sl ") for _ in range(200)) for _ in range(100)]
-    assert [encoder.ids(t) for t in texts] == [encoder.whole(t) for t in texts] and len(encoder.words) <= 20
+    want = [encoder.whole(t) for t in texts]
+    assert [encoder.ids(t) for t in texts * 2] == want * 2
 
 
 @pytest.mark.parametrize("size", [64, 1024])
