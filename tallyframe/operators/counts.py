@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from threading import RLock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,19 +30,24 @@ def wrapped(text: str) -> str:
     return f"({text}\n)"
 
 
+_one_at_a_time = RLock()
+
+
 @contextmanager
 def lenient(spark: SparkSession) -> Iterator[None]:
     """Frames made inside give NULL where a comparison's cast or a division fails, instead of an error.
 
-    Spark fixes this per expression when a frame is made; the session's setting is as before afterwards.
+    Spark fixes this per expression when a frame is made; the session's setting is as before afterwards. Threads that
+    make reports wait for each other here, so none restores the other's setting.
     """
     name = "spark.sql.ansi.enabled"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+    with _one_at_a_time:
+        before = spark.conf.get(name)
+        spark.conf.set(name, "false")
+        try:
+            yield
+        finally:
+            spark.conf.set(name, before)
 
 
 def tune_session(spark: SparkSession, counters: int = 300) -> None:

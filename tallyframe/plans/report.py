@@ -7,7 +7,6 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import cached_property
 
-from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,14 +18,13 @@ from tallyframe.operators.counts import (
     count_levels,
     group_counts,
     spread_levels,
-    lenient,
-    wrapped,
     zero_rows,
 )
 from tallyframe.operators.medians import exact_medians
 from tallyframe.operators.reconcile import accuracy_summary, compare_expected, report_rows
 from tallyframe.operators.subsets import STANDARD, is_listed, listed_subset, subset_list
 from tallyframe.plans.catalog import COUNT, MEDIAN, RATIO, Catalog, ResolvedCell, bind
+from tallyframe.plans.containment import failing_conditions
 
 
 @dataclass(frozen=True)
@@ -46,34 +44,6 @@ MODES = {
 }
 
 
-def invalid_conditions(data: DataFrame, conditions: Iterable[str]) -> set[str]:
-    """Conditions that Spark cannot analyze as a filter of the data, in the form in which they run. Runs no job.
-
-    A text has to stand on its own too, or unbalanced parentheses would slip through the added ones.
-    """
-
-    def rejected(texts: list[str]) -> set[str]:
-        with lenient(data.sparkSession):
-            fields = data.select(*[F.expr(text) for text in texts]).schema.fields
-            data.where(" AND ".join(wrapped(text) for text in texts))
-        return {t for t, f in zip(texts, fields) if f.dataType.typeName() not in ("boolean", "void")}
-
-    texts = list(dict.fromkeys(conditions))
-    if not texts:
-        return set()
-    try:
-        return rejected(texts)
-    except (AnalysisException, ParseException):
-        pass
-    bad = set()
-    for text in texts:
-        try:
-            bad |= rejected([text])
-        except (AnalysisException, ParseException):
-            bad.add(text)
-    return bad
-
-
 def sql_string(text: str) -> str:
     """The text as a SQL string literal."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -98,6 +68,7 @@ class CohortReport:
     max_code_length: two for the standard subset column, no bound for any other, unless given
     cells: names to run, in this order; without it the whole catalog
     national_medians: also report medians of the nation in mode ``subsets``
+    contain: a condition that some row could make fail is ``FAILED`` before the run; without it only those that Spark rejects
     """
 
     def __init__(
@@ -111,6 +82,7 @@ class CohortReport:
         cells: Iterable[str] | None = None,
         national_medians: bool = False,
         max_code_length: int | None = STANDARD,
+        contain: bool = True,
     ):
         if mode not in MODES:
             raise ValueError(f"unknown mode {mode!r}, use one of {', '.join(MODES)}")
@@ -124,6 +96,7 @@ class CohortReport:
         self.subsets = None if subsets is None else list(subsets)
         self.subset_column = subset_column
         self.max_code_length = max_code_length
+        self.contain = contain
         self.levels = dict(MODES[mode].levels)
         self.total = MODES[mode].total
         if national_medians:
@@ -131,18 +104,18 @@ class CohortReport:
         self.cells = self._runnable(catalog.select(cells))
 
     def _runnable(self, cells: list[ResolvedCell]) -> list[ResolvedCell]:
-        """Cells with bound conditions; one that Spark rejects fails alone."""
+        """Cells with bound conditions; one that Spark rejects or that may raise fails alone."""
         bound = []
         for cell in cells:
             if cell.predicate is not None:
                 cell = replace(cell, predicate=bind(cell.predicate, self.bounds))
             bound.append(cell)
-        bad = invalid_conditions(self.data, [c.predicate for c in bound if c.predicate])
+        bad = failing_conditions(self.data, [c.predicate for c in bound if c.predicate], self.contain)
         missing = {
             c.value for c in bound if c.kind == MEDIAN and c.value not in self.data.columns
         }
         return [
-            replace(c, kind=layout.FAILED, problem="not a valid filter")
+            replace(c, kind=layout.FAILED, problem="no filter that can run beside others")
             if c.predicate in bad or (c.kind == MEDIAN and c.value in missing)
             else c
             for c in bound

@@ -5,7 +5,7 @@ from __future__ import annotations
 from tallyframe import layout, standard_catalog
 from tallyframe.plans.catalog import COUNT, MEDIAN, RATIO, REFINE, bind
 from testbed.participants import COHORT_SPANS, MEASURES, QUARTER_NUMBER, column_sql
-from testbed.queries import BOUNDS, COMPARED, LISTED, MEDIANS, PREDICATES, RATIO_CELLS, REFINEMENTS
+from testbed.queries import BOUNDS, COMPARED, CONTAINED, HARMLESS, LISTED, MEDIANS, PREDICATES, RATIO_CELLS, REFINEMENTS
 
 KEY = "CASE WHEN length(p3000) < 3 THEN p3000 END"
 
@@ -219,7 +219,16 @@ def _statuses() -> str:
         "SELECT 'orphan', 'ALL', NULL, 'FAILED'",
         "SELECT 'unknown', 'ALL', NULL, 'MISSING'",
     ]
+    parts += [f"SELECT '{n}', 'ALL', NULL, 'FAILED'" for n in (*CONTAINED, "regex_median")]
+    parts += [f"SELECT '{n}', subset, CAST({n} AS DOUBLE), 'OK' FROM agg" for n in HARMLESS]
     aggregates = {"ok": count_of("p918 = 1"), "middle": median_of("p918 = 1 AND p1704 > 0")}
+    aggregates |= {
+        "comment": count_of("p918 = 1"),
+        "code_as_number": count_of("try_cast(p3000 AS INTEGER) = 1"),
+        "date_as_text": count_of("p900 >= try_cast('junk' AS DATE)"),
+        "division": count_of("p918 - 1 > 0"),
+        "good_regex": count_of("p3000 IN ('NA', 'NB', 'NC')"),
+    }
     return with_input("\nUNION ALL ".join(parts), levels(aggregates))
 
 

@@ -282,11 +282,38 @@ STATUS_CATALOG = [
     Cell("unset", RATIO, num="empty", den="ok"),
 ]
 
+# conditions that fail before they run, each beside the good cells
+CONTAINED = {
+    "aggregate": "count(*) > 1",
+    "window": "row_number() over (order by p918) > 1",
+    "generator": "explode(array(true, false))",
+    "parentheses": "p918 = 1) OR (p918 = 2",
+    "regex": "p3000 rlike '('",
+    "raised": "raise_error('no') = 1",
+    "pattern": "to_date(p3000, 'qqqqq') is null",
+    "position": "element_at(array(1), 0) = p918",
+    "random": "rand() > 2",
+    "data_regex": "p3000 rlike p3000",
+}
+
+# conditions that look like them and run
+HARMLESS = {
+    "comment": "p918 = 1 -- note",
+    "code_as_number": "p3000 = 1",
+    "date_as_text": "p900 >= 'junk'",
+    "division": "1/(p918-1) > 0",
+    "good_regex": "p3000 rlike '^N[A-C]$'",
+}
+
 
 def cell_status(spark, sf_dir):
-    names = [c.name for c in STATUS_CATALOG] + ["unknown"]
-    run = report(spark, sf_dir, "both", names, Catalog(STATUS_CATALOG))
-    return numbers(run, "status")
+    cells = [*STATUS_CATALOG, *[Cell(n, COUNT, predicate=c) for n, c in (CONTAINED | HARMLESS).items()], Cell("regex_median", MEDIAN, predicate=CONTAINED["regex"])]
+    return cell_statuses(spark, sf_dir, cells)
+
+
+def cell_statuses(spark, sf_dir, cells):
+    names = [c.name for c in cells] + ["unknown"]
+    return numbers(report(spark, sf_dir, "both", names, Catalog(cells)), "status")
 
 
 def safe_ratios(spark, sf_dir):

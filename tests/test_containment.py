@@ -25,6 +25,29 @@ FORMS = {
     "p3000 = 1": "0",
     "p900 >= 'junk'": "0",
     "1/(p918-1) > 0": "1",
+    # raise when they run
+    "p3000 rlike '('": None,
+    "raise_error('no') = 1": None,
+    "to_date(p3000, 'qqqqq') is null": None,
+    "element_at(array(1), 0) = p918": None,
+    "rand() > 2": None,
+    "p918 = 5 AND p3000 rlike '('": None,
+    "p3000 rlike p3000": None,
+    "element_at(array(1), p918) = 1": None,
+    "regexp_extract(p3000, 'A(.)', 2) = 'K'": None,
+    "regexp_replace(p3000, 'A', '$1') = 'K'": None,
+    "date_format(p900, 'bbb') = 'x'": None,
+    "p3000 like 'A\\\\'": None,
+    "assert_true(p918 = 1) IS NULL": None,
+    "uuid() = 'x'": None,
+    # the same functions in forms that can't raise
+    "p3000 rlike '^A[KX]'": "1",
+    "to_date(p3000, 'yyyy') is null": "3",
+    "element_at(array(1), 2) = p918 OR p918 = 2": "1",
+    "regexp_extract(p3000, 'A(.)', 1) = 'L'": "2",
+    "p3000 like 'A%' AND upper(p3000) in ('AL', 'AK') AND length(trim(p3000)) = 2": "3",
+    "year(p900) between 2016 and 2017 AND add_months(p900, 2) > p900": "1",
+    "cast(p3000 as int) is null AND p918 * 1000000000 < 0": "0",
 }
 
 
@@ -39,6 +62,36 @@ def test_a_bad_condition_leaves_the_others(spark, make_input, form):
     assert spark.conf.get("spark.sql.ansi.enabled") == before
 
 
+def test_conditions_that_raise_run_only_if_asked_for(spark, make_input):
+    catalog = Catalog([GOOD, Cell("m", MEDIAN, predicate="p3000 rlike '('"), Cell("n", MEDIAN, predicate="p3000 rlike p3000")])
+    got = {r["cell"]: r["actual"] for r in CohortReport(make_input(ROWS), catalog, mode="national").results().collect()}
+    assert got == {"good": "2", "m": "FAILED", "n": "FAILED"}
+    asked = CohortReport(make_input(ROWS), Catalog([GOOD, Cell("n", COUNT, predicate="p3000 rlike p3000")]), mode="national", contain=False)
+    assert {r["cell"]: r["actual"] for r in asked.results().collect()} == {"good": "2", "n": "3"}
+
+
+def test_standard_conditions_need_no_trial(spark, make_input):
+    from tallyframe import standard_catalog
+    from tallyframe.plans.containment import failing_conditions
+
+    texts = [c.predicate for c in standard_catalog().select() if c.predicate]
+    unbound = ":(begin|end|\\w+)"
+    import re
+
+    assert failing_conditions(make_input(ROWS), [re.sub(unbound, "DATE '2017-01-01'", t) for t in texts]) == set()
+
+
+def test_threads_that_make_reports_keep_the_setting(spark, make_input):
+    from concurrent.futures import ThreadPoolExecutor
+
+    data = make_input(ROWS)
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    make = lambda _: CohortReport(data, Catalog([GOOD, Cell("c", COUNT, predicate="p3000 = 1")]), mode="national").results().collect()
+    with ThreadPoolExecutor(4) as pool:
+        assert all({r["cell"]: r["actual"] for r in rows} == {"good": "2", "c": "0"} for rows in pool.map(make, range(8)))
+    assert spark.conf.get("spark.sql.ansi.enabled") == before
+
+
 def test_session_settings_are_untouched(spark, make_input):
     names = ["spark.sql.codegen.maxFields", "spark.sql.codegen.hugeMethodLimit", "spark.sql.ansi.enabled"]
     before = [spark.conf.get(n) for n in names]
