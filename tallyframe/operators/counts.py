@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from threading import RLock
 
@@ -113,14 +113,16 @@ def count_levels(
     subset: Column,
     subsets: Sequence[str] | None = None,
     total: str = "all",
+    grouped: Callable[[DataFrame, Mapping[str, str], Column], DataFrame] = group_counts,
 ) -> DataFrame:
     """Wide counts per listed subset and for the nation, absent subsets filled with 0.
 
+    ``grouped`` counts by subset; it sees the input once.
     The input is aggregated once by subset. The national row and the zero filling are
     a second aggregation over that small result, not over the input.
     """
     names = list(conditions)
-    parts = spread_levels(group_counts(data, conditions, subset), total).unionByName(
+    parts = spread_levels(grouped(data, conditions, subset), total).unionByName(
         zero_rows(data.sparkSession, names, subsets)
     )
     return parts.groupBy(*LEVEL).agg(*[F.expr(f"sum({quoted(n)}) AS {quoted(n)}") for n in names])

@@ -8,17 +8,16 @@ patterns taken from the data, ``raise_error``, functions not known here, user-de
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable, Iterable
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.functions.local import local_table
-from tallyframe.operators.counts import lenient, wrapped
+from tallyframe.operators.conditions import Condition, Node
+from tallyframe.operators.counts import lenient
 
 #: Expressions that never raise where casts and arithmetic are lenient.
 TOTAL = frozenset(
@@ -38,15 +37,6 @@ TOTAL = frozenset(
 )
 
 
-@dataclass
-class Node:
-    """One expression of an analyzed condition."""
-
-    kind: str
-    value: str | None
-    children: list[Node]
-
-
 def _regex(node: Node) -> Column:
     return F.lit("x").rlike(node.children[1].value)
 
@@ -91,18 +81,6 @@ TRIED: dict[str, Callable[[Node], Column]] = {
 }
 
 
-def _tree(nodes: list[dict]) -> Node:
-    """The expression of a list of nodes in which each is followed by its children."""
-
-    def next_node() -> Node:
-        given = next(rest)
-        value = given.get("value")
-        return Node(given["class"].rsplit(".", 1)[-1], value if isinstance(value, str) else None, [next_node() for _ in range(given["num-children"])])
-
-    rest = iter(nodes)
-    return next_node()
-
-
 def _trials(node: Node) -> list[Column] | None:
     """What has to be tried before the condition may run; None if it may raise whatever the trials give."""
     own: list[Column] = []
@@ -126,47 +104,22 @@ def _trials(node: Node) -> list[Column] | None:
 def _run(spark: SparkSession, trials: list[Column]) -> bool:
     """Whether all of them give a value. Rows of literals are evaluated on the driver, without a job."""
     try:
-        local_table(spark, [("x",)], "t string").select(*[t.cast("string").alias(f"t{i}") for i, t in enumerate(trials)]).collect()
+        with lenient(spark):
+            tried = local_table(spark, [("x",)], "t string").select(*[t.cast("string").alias(f"t{i}") for i, t in enumerate(trials)])
+        tried.collect()
     except (PySparkException, Py4JJavaError):  # some patterns fail with an error of the JVM
         return False
     return True
 
 
-def _analyzed(empty: DataFrame, texts: list[str]) -> list[Node | None]:
-    """The counters' expressions; None for a text that is no boolean condition. Raises if Spark rejects any of them."""
-    fields = empty.select(*[F.expr(text) for text in texts]).schema.fields
-    counters = empty.agg(*[F.expr(f"count(CASE WHEN {wrapped(text)} THEN 1 END) AS n{i}") for i, text in enumerate(texts)])
-    plan = json.loads(counters._jdf.queryExecution().analyzed().toJSON())
-    trees = [_tree(nodes) for nodes in plan[0]["aggregateExpressions"]]
-    return [t if f.dataType.typeName() in ("boolean", "void") else None for t, f in zip(trees, fields)]
-
-
-def failing_conditions(data: DataFrame, conditions: Iterable[str], contain: bool = True) -> set[str]:
-    """Conditions that can't be counted beside others: Spark rejects them as a counter over the data or, with ``contain``, they may raise. Runs no job.
-
-    A text has to stand on its own too, or unbalanced parentheses would slip through the added ones.
-    """
-    texts = list(dict.fromkeys(conditions))
-    if not texts:
-        return set()
-    spark = data.sparkSession
-    with lenient(spark):
-        empty = spark.createDataFrame([], data.schema)
-        found: dict[str, Node | None] = {}
-        try:
-            found = dict(zip(texts, _analyzed(empty, texts)))
-        except PySparkException:
-            for text in texts:
-                try:
-                    found[text] = _analyzed(empty, [text])[0]
-                except PySparkException:
-                    found[text] = None
-        bad = {text for text, tree in found.items() if tree is None}
-        if not contain:
-            return bad
-        trials = {text: _trials(tree) for text, tree in found.items() if tree is not None}
-        bad |= {text for text, needed in trials.items() if needed is None}
-        needed = {text: t for text, t in trials.items() if t}
-        if needed and not _run(spark, [t for each in needed.values() for t in each]):
-            bad |= {text for text, each in needed.items() if not _run(spark, each)}
+def failing_conditions(spark: SparkSession, analysis: Mapping[str, Condition | None], contain: bool = True) -> set[str]:
+    """Texts that can't be counted beside others: Spark rejects them or, with ``contain``, some row could make them raise. Runs no job."""
+    bad = {text for text, condition in analysis.items() if condition is None}
+    if not contain:
+        return bad
+    trials = {text: _trials(condition.node) for text, condition in analysis.items() if condition is not None}
+    bad |= {text for text, needed in trials.items() if needed is None}
+    needed = {text: t for text, t in trials.items() if t}
+    if needed and not _run(spark, [t for each in needed.values() for t in each]):
+        bad |= {text for text, each in needed.items() if not _run(spark, each)}
     return bad

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tallyframe import layout
 from tallyframe.functions import ratio_status, safe_ratio
 from tallyframe.functions.local import local_table
+from tallyframe.operators.conditions import analyze
 from tallyframe.operators.counts import (
     LEVEL,
     count_levels,
@@ -20,6 +21,7 @@ from tallyframe.operators.counts import (
     spread_levels,
     zero_rows,
 )
+from tallyframe.operators.masks import mask_counts
 from tallyframe.operators.medians import exact_medians
 from tallyframe.operators.reconcile import accuracy_summary, compare_expected, report_rows
 from tallyframe.operators.subsets import STANDARD, is_listed, listed_subset, subset_list
@@ -44,6 +46,10 @@ MODES = {
 }
 
 
+#: Conditions from which on a run counts them through masks; a few are as fast on their own and need no further analysis.
+MASKED_FROM = 12
+
+
 def sql_string(text: str) -> str:
     """The text as a SQL string literal."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -110,7 +116,8 @@ class CohortReport:
             if cell.predicate is not None:
                 cell = replace(cell, predicate=bind(cell.predicate, self.bounds))
             bound.append(cell)
-        bad = failing_conditions(self.data, [c.predicate for c in bound if c.predicate], self.contain)
+        self.analysis = analyze(self.data, [c.predicate for c in bound if c.predicate])
+        bad = failing_conditions(self.spark, self.analysis, self.contain)
         missing = {
             c.value for c in bound if c.kind == MEDIAN and c.value not in self.data.columns
         }
@@ -142,6 +149,12 @@ class CohortReport:
         """Rows that count where only listed subsets do."""
         return self.data.where(is_listed(self.subset_column, self.subsets, self.max_code_length))
 
+    def _grouped(self, data: DataFrame, conditions: Mapping[str, str], subset: Column | None = None) -> DataFrame:
+        """Counters by subset, through masks where many conditions share their tests."""
+        if len(conditions) < MASKED_FROM:
+            return group_counts(data, conditions, subset)
+        return mask_counts(data, conditions, self.analysis, subset)
+
     def _wide_counts(self) -> DataFrame:
         conditions = {column: text for text, column in self._counters.items()}
         if self.mode == "national":
@@ -149,7 +162,7 @@ class CohortReport:
             if not conditions:
                 return nation
             # one row by construction, so the national label is a literal
-            return group_counts(self.data, conditions).select(
+            return self._grouped(self.data, conditions).select(
                 F.lit(True).alias("national"), F.lit(layout.NATIONAL).alias("subset"), *conditions
             )
         if not conditions:
@@ -158,7 +171,7 @@ class CohortReport:
             found = spread_levels(subset_list(self.data, self.subset_column, self.max_code_length))
             return found.unionByName(zero_rows(self.spark, [])).distinct()
         data = self._listed_rows() if self.total == "listed" else self.data
-        return count_levels(data, conditions, self._key(), self.subsets, self.total)
+        return count_levels(data, conditions, self._key(), self.subsets, self.total, grouped=self._grouped)
 
     def _wide_medians(self) -> DataFrame | None:
         """One row per level with a column per distinct median."""

@@ -1,11 +1,15 @@
 """Conditions that can't run, or that would raise, stay with their cell; forms of real input files."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-from tallyframe import Catalog, Cell, CohortReport
+from tallyframe import Catalog, Cell, CohortReport, standard_catalog
 from tallyframe.operators import exact_medians, prepare_input, subset_list
+from tallyframe.operators.conditions import analyze
 from tallyframe.plans.catalog import COUNT, MEDIAN
+from tallyframe.plans.containment import _trials, failing_conditions
 from tallyframe.sources import parse_expected
 
 ROWS = [
@@ -71,14 +75,9 @@ def test_conditions_that_raise_run_only_if_asked_for(spark, make_input):
 
 
 def test_standard_conditions_need_no_trial(spark, make_input):
-    from tallyframe import standard_catalog
-    from tallyframe.plans.containment import failing_conditions
-
-    texts = [c.predicate for c in standard_catalog().select() if c.predicate]
-    unbound = ":(begin|end|\\w+)"
-    import re
-
-    assert failing_conditions(make_input(ROWS), [re.sub(unbound, "DATE '2017-01-01'", t) for t in texts]) == set()
+    texts = [re.sub(r":\w+", "DATE '2017-01-01'", c.predicate) for c in standard_catalog().select() if c.predicate]
+    analysis = analyze(make_input(ROWS), texts)
+    assert failing_conditions(spark, analysis) == set() and all(_trials(c.node) == [] for c in analysis.values())
 
 
 def test_threads_that_make_reports_keep_the_setting(spark, make_input):
