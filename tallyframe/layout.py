@@ -38,6 +38,8 @@ PREVIOUS_SEQUENCE_STEP = 12
 PROGRAM_START = "2016-07-01"
 
 # window parameter pair -> measure whose current period supplies it
+WINDOWS = ("r4q", "cq", "ptd")
+
 WINDOW_MEASURES = {
     "abc": "Number Served (Reportable Individual)",
     "exit2q": "Employment Rate Second Quarter After Exit",

@@ -1,6 +1,6 @@
 from tallyframe.operators.counts import count_levels, group_counts, long_counts, spread_levels
 from tallyframe.operators.medians import exact_medians
-from tallyframe.operators.periods import periods, report_windows, window_bounds
+from tallyframe.operators.periods import periods, report_windows, window_bounds, window_table
 from tallyframe.operators.prepare import prepare_input, publish_input
 from tallyframe.operators.reconcile import accuracy_summary, compare_expected, report_rows
 from tallyframe.operators.subsets import is_listed, listed_subset, subset_list
@@ -22,4 +22,5 @@ __all__ = [
     "spread_levels",
     "subset_list",
     "window_bounds",
+    "window_table",
 ]

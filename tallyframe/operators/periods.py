@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +59,32 @@ def report_windows(period_table: DataFrame, window: str = "r4q") -> DataFrame:
     )
 
 
+def window_table(
+    measures: DataFrame, cohorts: DataFrame, windows: Sequence[str] = layout.WINDOWS, quarters: Sequence[int] | None = None
+) -> DataFrame:
+    """The bounds of every window of every quarter as a table: ``quarter, window`` and two dates per measure, e.g. ``abc_start``.
+
+    Quarters without an active cohort for each measure have no row. One row per quarter and window.
+    """
+    named = F.create_map(*[F.lit(x) for n, m in layout.WINDOW_MEASURES.items() for x in (m, n)])
+    wanted = cohorts.where(F.col("IsActive") == 1)
+    if quarters is not None:
+        wanted = wanted.where(F.col("QuarterID").isin(list(quarters)))
+    reported = measures.where((F.col("ReportTypeID") == layout.REPORT_TYPE) & F.col("Measure").isin(list(layout.WINDOW_MEASURES.values())))
+    stored = F.struct(date_part(F.col("CoveredDataStartDate")).alias("start"), date_part(F.col("CoveredDataEndDate")).alias("end"))
+    first = (
+        reported.join(wanted, "MeasureID")
+        .groupBy(F.col("QuarterID").cast("int").alias("quarter"), F.try_element_at(named, "Measure").alias("name"))
+        .agg(F.min_by(stored, F.col("MeasureID").cast("int")).alias("stored"))
+    )
+    start, end = F.col("stored.start"), F.col("stored.end")
+    spans = F.array(*[F.struct(F.lit(w).alias("window"), window_start(w, start, end).alias("start"), end.alias("end")) for w in windows])
+    each = first.select("quarter", "name", F.inline(spans))
+    bounds = [f"{n}_{side}" for n in layout.WINDOW_MEASURES for side in ("start", "end")]
+    of = lambda b: F.max(F.when(F.col("name") == b.rsplit("_", 1)[0], F.col(b.rsplit("_", 1)[1]))).alias(b)
+    return each.groupBy("quarter", "window").agg(*[of(b) for b in bounds]).dropna(subset=bounds)
+
+
 def window_bounds(windows: DataFrame) -> dict[str, dt.date]:
     """Window bounds by parameter name, e.g. ``abc_start``. Brings at most three rows."""
     rows = windows.collect()

@@ -160,3 +160,9 @@ def bind(predicate: str | None, bounds: Mapping[str, dt.date]) -> str | None:
     return _BOUND.sub(
         lambda m: f"DATE '{bounds[m[1]]}'" if m[1] in bounds else m[0], predicate
     )
+
+
+def bind_columns(predicate: str, names: Iterable[str]) -> str:
+    """Condition text whose ``:name`` window bounds are columns of that name."""
+    known = set(names)
+    return _BOUND.sub(lambda m: m[1] if m[1] in known else m[0], predicate)

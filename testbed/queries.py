@@ -19,8 +19,9 @@ from tallyframe.operators import (
     report_windows,
     subset_list,
     window_bounds,
+    window_table,
 )
-from tallyframe.plans import adhoc_sql, bind
+from tallyframe.plans import adhoc_sql, bind, window_report
 from tallyframe.plans.catalog import COUNT, MEDIAN, RATIO, REFINE
 from tallyframe.sources import parse_definitions, parse_expected
 from testbed.participants import cohorts, measures, participants, participants_raw, read_table
@@ -396,6 +397,15 @@ def full_report(spark, sf_dir):
     return numbers(run, "numerator", "denominator", "status")
 
 
+WINDOWED = ["F04p", "F04", "F05", "F10", "F12", "F27", "F31", "F26", "G28", "G05n", "G05"]
+
+
+def window_grid(spark, sf_dir):
+    """Three windows of two quarters from one scan."""
+    bounds = window_table(measures(spark), cohorts(spark, sf_dir), quarters=(12, 13))
+    return window_report(participants(spark, sf_dir), standard_catalog(), bounds, WINDOWED)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "full_report": full_report,
     "scan_input": scan_input,
@@ -431,4 +441,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_both_modes": report_both_modes,
     "run_stats": run_stats,
     "adhoc_sql": adhoc,
+    "window_grid": window_grid,
 }
