@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import n_words, packed, parts, saved, words
+from .common import n_words, packed, parts, saved
 
 #: Points of the lattice and the multiplier nearest to 2^31 / golden ratio that is odd.
 POINTS = 1 << 31
@@ -112,7 +112,7 @@ def schedule(targets: DataFrame, block_words: int, n_sources: int, total: int) -
 
 
 def mix(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1), most: int = 3, block_words: int = 256, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """The mix as pieces ``slot, doc_id, row_hash, copy, epoch, from_word, n_words``, and every document with its totals.
+    """The mix as pieces ``slot, doc_id, row_hash, copy, epoch, from_word, n_words, size``, and every document with its totals.
 
     ``most`` is a whole number. The driver learns three numbers only: documents, sources and words.
     """
@@ -136,13 +136,14 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1), most: int =
     begin = F.greatest("low", F.col("block") * block_words)
     end = F.least("high", (F.col("block") + 1) * block_words)
     pieces = met.join(slots.select("slot", F.col("source").alias("s_source"), F.col("block").alias("s_block")), same).select(
-        "slot", "doc_id", "row_hash", "copy", "epoch", (begin - F.col("low")).alias("from_word"), (end - begin).alias("n_words")
+        "slot", "doc_id", "row_hash", "copy", "epoch", (begin - F.col("low")).alias("from_word"), (end - begin).alias("n_words"), "size"
     )
     return pieces, held.select("doc_id", "row_hash", "copy", "source", "size", "source_size", "target")
 
 
 def _row_hash() -> Column:
-    return F.xxhash64("text", "source")
+    """Hash of text and source that tells a null of one from a null of the other."""
+    return F.xxhash64("text", F.col("text").isNull(), "source", F.col("source").isNull())
 
 
 def _numbered(sizes: DataFrame) -> DataFrame:
@@ -153,30 +154,29 @@ def _numbered(sizes: DataFrame) -> DataFrame:
 
 def _taken(docs: DataFrame, keys: list[str], **options) -> DataFrame:
     pieces, totals = mix(docs, **options)
-    sums = pieces.groupBy(*[F.col(k).alias(f"p_{k}") for k in keys]).agg(F.sum("n_words").alias("taken"))
+    sums = pieces.groupBy(*[F.col(k).alias(f"p_{k}") for k in keys]).agg(F.sum("n_words").alias("taken"), F.min("slot").alias("first_slot"))
     same = [F.col(k).eqNullSafe(F.col(f"p_{k}")) for k in keys]
     return totals.join(sums, same, "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
 
 
 def taken(docs: DataFrame, **options) -> DataFrame:
-    """Every document with the words that the mix takes of it, repeats counted."""
-    return _taken(docs, ["doc_id", "row_hash", "copy"], **options).select("doc_id", "size", "source_size", "target", "taken")
+    """Every document with the words that the mix takes of it, repeats counted, and its first slot in the schedule (null: not taken)."""
+    return _taken(docs, ["doc_id", "row_hash", "copy"], **options).select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix as documents: a row for every time that one is taken whole, and one cut to its first words for the rest."""
-    sums = _taken(docs, ["doc_id", "row_hash", "copy"], **options).groupBy("doc_id", "row_hash").agg(
-        F.max("size").alias("size"), F.sum("taken").alias("taken")
-    ).where("taken > 0").withColumnsRenamed({"doc_id": "m_id", "row_hash": "m_hash"})
+    """The mix as documents in the order of the schedule: a row for every time that one is taken, the last of a source cut behind its last word."""
+    pieces, _ = mix(docs, **options)
+    runs = pieces.groupBy(F.col("doc_id").alias("m_id"), F.col("row_hash").alias("m_hash"), "copy", "epoch").agg(
+        F.min("slot").alias("slot"), F.sum("n_words").cast("int").alias("taken"), F.max("size").alias("size")
+    )
     held = packed(docs, id_=F.col("doc_id"), hash_=_row_hash()).dropDuplicates(["id_", "hash_"])
     same = F.col("id_").eqNullSafe(F.col("m_id")) & (F.col("hash_") == F.col("m_hash"))
-    rest = F.col("taken") % F.col("size")
-    runs = F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))).alias("run")
-    rows = held.join(sums, same).select("row_", "size", "taken", runs)
-    whole = F.col("run") <= F.floor(F.col("taken") / F.col("size"))
-    cut = F.array_join(F.slice(words(F.col("row_.text")), 1, rest.cast("int")), " ")
-    text = F.when(whole, F.col("row_.text")).otherwise(cut)
+    # Cut behind each word: every part is a word with the white space before it.
+    parts_ = F.split(F.col("row_.text"), r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
+    text = F.when(F.col("taken") >= F.col("size"), F.col("row_.text")).otherwise(F.array_join(F.slice(parts_, F.lit(1), F.col("taken")), ""))
     row = F.col("row_").withField("text", text)
     if "n_chars" in docs.columns:
         row = row.withField("n_chars", F.char_length(text).cast("long"))
-    return rows.select(row.alias("row_")).select("row_.*")
+    rows = held.join(runs, same).select(row.alias("row_"), "slot", "id_", "epoch", "copy")
+    return rows.orderBy("slot", "id_", "epoch", "copy").select("row_.*")

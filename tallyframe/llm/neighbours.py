@@ -3,7 +3,8 @@
 The tree is fitted on a sample of at most ``sample_rows`` rows and has at most ``most_leaves`` leaves, so it is small whatever
 the number of rows; every row is put into the leaf it descends to. A query takes leaves from a priority queue of nodes by
 their centre's distance. How many is calibrated: for up to ``trial_queries`` queries the exact neighbours among all rows are
-found, and visits are widened until ``recall`` of those lie in visited leaves. Leaves with many rows or visits are cut into blocks, every
+found, and visits are widened until ``recall`` of those lie in visited leaves. A query walks on until its leaves hold more than ``k`` rows, and
+one that then has fewer than ``k`` ids visits more leaves, all in the end. Leaves with many rows or visits are cut into blocks, every
 pair of blocks of a leaf meets in one task, and the best of each block are merged.
 
 Defined results: vectors that are null or zero, hold a null or non-finite component, or have another length than most
@@ -22,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import saved
+
 FOUND = "query_id long, vec_id long, score double"
 
 
@@ -56,13 +59,14 @@ class Tree:
             todo += [(c, rows[best == i]) for i, c in enumerate(kids)]
         return out
 
-    def visit(self, unit: np.ndarray, most: int) -> list[int]:
-        """Leaves in best-bin-first order."""
-        heap, seen = [(0.0, 0)], []
-        while heap and len(seen) < most:
+    def visit(self, unit: np.ndarray, most: int, rows: np.ndarray | None = None, need: int = 0) -> list[int]:
+        """Leaves in best-bin-first order: ``most`` of them, and on until they hold ``need`` rows."""
+        heap, seen, held = [(0.0, 0)], [], 0
+        while heap and (len(seen) < most or held < need):
             _, node = heapq.heappop(heap)
             if self.leaf[node] >= 0:
                 seen.append(self.leaf[node])
+                held += 0 if rows is None else int(rows[self.leaf[node]])
                 continue
             kids = self.children[node]
             for d, c in zip(_distances(unit[None, :], np.stack([self.centres[c] for c in kids]))[0].tolist(), kids):
@@ -185,24 +189,11 @@ def search(
     queries = good.where(is_query)
     visits = _calibrated(placed, queries, tree, dims, k, recall, trial_queries)
 
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            order = [tree.visit(u, visits) for u in _unit(_matrix(b.column("embedding"), dims))]
-            at = pa.array(np.repeat(np.arange(b.num_rows), [len(x) for x in order]))
-            yield pa.RecordBatch.from_arrays([b.column("vec_id").take(at), b.column("embedding").take(at), pa.array([x for y in order for x in y], pa.int64())], names=["vec_id", "embedding", "leaf"])
-
-    walked = queries.mapInArrow(walk, "vec_id long, embedding array<double>, leaf long")
-    # Numbers of blocks of each leaf: at most most_leaves rows.
-    sizes = placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows"), F.count_if(is_query).alias("queries")).collect()
+    # Rows of each leaf: at most most_leaves numbers.
+    sizes = placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows")).collect()
     by_leaf = {r["leaf"]: -(-r["rows"] // block_rows) for r in sizes}
-    visited = {r["leaf"]: -(-r["n"] // block_queries) for r in walked.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}
-    blocks = spark.createDataFrame([(leaf, by_leaf[leaf], m) for leaf, m in visited.items() if leaf in by_leaf], "leaf long, row_blocks int, query_blocks int")
-    mine = lambda number: F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col(number)).cast("int")
-    each = lambda number: F.explode(F.sequence(F.lit(0), F.col(number) - 1))
-    index = placed.join(blocks, "leaf").withColumn("rb", mine("row_blocks")).withColumn("qb", each("query_blocks")).select("leaf", "rb", "qb", "vec_id", "embedding")
-    asked = walked.join(blocks, "leaf").withColumn("qb", mine("query_blocks")).withColumn("rb", each("row_blocks")).select("leaf", "rb", "qb", "vec_id", "embedding")
+    held = np.zeros(tree.leaves, np.int64)
+    held[[r["leaf"] for r in sizes]] = [r["rows"] for r in sizes]
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
@@ -210,9 +201,36 @@ def search(
         pick = lambda t: (t["vec_id"].to_numpy(), _matrix(t["embedding"].combine_chunks(), dims))
         return _table(_best(pick(left), pick(right), k))
 
-    keys = ["leaf", "rb", "qb"]
-    met = asked.groupBy(*keys).cogroup(index.groupBy(*keys)).applyInArrow(meet, FOUND)
-    return _ranked(met, k)
+    def nearest(some: DataFrame, most: int) -> DataFrame:
+        def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                order = [tree.visit(u, most, held, k + 1) for u in _unit(_matrix(b.column("embedding"), dims))]
+                at = pa.array(np.repeat(np.arange(b.num_rows), [len(x) for x in order]))
+                yield pa.RecordBatch.from_arrays([b.column("vec_id").take(at), b.column("embedding").take(at), pa.array([x for y in order for x in y], pa.int64())], names=["vec_id", "embedding", "leaf"])
+
+        walked = some.mapInArrow(walk, "vec_id long, embedding array<double>, leaf long")
+        visited = {r["leaf"]: -(-r["n"] // block_queries) for r in walked.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}
+        blocks = spark.createDataFrame([(leaf, by_leaf[leaf], m) for leaf, m in visited.items() if leaf in by_leaf], "leaf long, row_blocks int, query_blocks int")
+        mine = lambda number: F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col(number)).cast("int")
+        each = lambda number: F.explode(F.sequence(F.lit(0), F.col(number) - 1))
+        index = placed.join(blocks, "leaf").withColumn("rb", mine("row_blocks")).withColumn("qb", each("query_blocks")).select("leaf", "rb", "qb", "vec_id", "embedding")
+        asked = walked.join(blocks, "leaf").withColumn("qb", mine("query_blocks")).withColumn("rb", each("row_blocks")).select("leaf", "rb", "qb", "vec_id", "embedding")
+        keys = ["leaf", "rb", "qb"]
+        return _ranked(asked.groupBy(*keys).cogroup(index.groupBy(*keys)).applyInArrow(meet, FOUND), k)
+
+    # Rows of one id count once, so the visited leaves may still hold too few ids: such queries visit more until all leaves are seen.
+    best = saved(nearest(queries, visits))
+    while visits < tree.leaves:
+        full = best.groupBy(F.col("query_id").alias("vec_id")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
+        short = saved(queries.join(full, "vec_id", "left_anti"))
+        if short.isEmpty():
+            break
+        visits = min(4 * visits, tree.leaves)
+        again = short.select(F.col("vec_id").alias("query_id")).distinct()
+        best = saved(best.join(again, "query_id", "left_anti").unionByName(nearest(short, visits)))
+    return best
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:

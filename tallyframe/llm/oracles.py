@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .rules import GRIDS
+from .rules import GRIDS, path
 
 #: Rule values over the measures, as in ``rules.rule_values``.
 VALUES = {
@@ -17,10 +17,8 @@ RISK, ERROR = 0.01, 0.05
 
 def quality_rules() -> str:
     """Counts by windows over unnested words; cutoffs by the binomial distribution function, term by term with ``lgamma``."""
-    tests = sum(len(grid) for grid in GRIDS.values())
-    share = RISK / len(GRIDS)
-    rows = ", ".join(f"('{rule}', {cut!r}::DOUBLE)" for rule, grid in GRIDS.items() for cut in grid)
-    of_rule = " ".join(f"WHEN '{rule}' THEN CASE WHEN {b} > 0 THEN {a} / {b} ELSE 0.0 END" for rule, (a, b) in VALUES.items())
+    rows = ", ".join(f"({j}, " + ", ".join(f"{step.get(r, 'NULL')}::DOUBLE" for r in GRIDS) + ")" for j, step in enumerate([{}, *path()]))
+    fails = " OR ".join(f"coalesce(CASE WHEN {b} > 0 THEN {a} / {b} ELSE 0.0 END > max_{r}, false)" for r, (a, b) in VALUES.items())
     return f"""
 WITH numbered AS (
   SELECT row_number() OVER () AS row_id, doc_id, lang, coalesce(text, '') AS text FROM documents
@@ -54,16 +52,18 @@ WITH numbered AS (
   SELECT doc_id FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1
 ), good AS (
   SELECT * FROM measured WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM trusted)
-), cutoffs(rule, cutoff) AS (VALUES {rows}
+), steps(step, {", ".join(f"max_{r}" for r in GRIDS)}) AS (VALUES {rows}
 ), failing AS (
-  SELECT lang, rule, cutoff, count(*) AS n, count(*) FILTER (WHERE CASE rule {of_rule} END > cutoff) AS k FROM good, cutoffs GROUP BY ALL
+  SELECT lang, step, count(*) AS n, count(*) FILTER (WHERE {fails}) AS k FROM good, steps GROUP BY ALL
 ), tail AS (
-  SELECT lang, rule, cutoff, k <= n * {share!r} AND list_sum(list_transform(range(0, k + 1),
-    lambda i: exp(lgamma(n + 1) - lgamma(greatest(i, 0) + 1) - lgamma(greatest(n - i, 0) + 1) + i * ln({share!r}) + (n - i) * ln(1 - {share!r}))))
-    <= {ERROR!r} / ({tests} * (SELECT count(DISTINCT coalesce('x' || lang, '')) FROM good)) AS allowed
+  SELECT lang, step, step = 0 OR k <= n * {RISK!r} AND list_sum(list_transform(range(0, k + 1),
+    lambda i: exp(lgamma(n + 1) - lgamma(greatest(i, 0) + 1) - lgamma(greatest(n - i, 0) + 1) + i * ln({RISK!r}) + (n - i) * ln(1 - {RISK!r}))))
+    <= {ERROR!r} / (SELECT count(DISTINCT coalesce('x' || lang, '')) FROM good) AS allowed
   FROM failing
+), taken AS (
+  SELECT lang, coalesce(min(step) FILTER (WHERE NOT allowed) - 1, max(step)) AS step FROM tail GROUP BY lang
 ), limits AS (
-  SELECT lang, {", ".join(f"min(cutoff) FILTER (WHERE allowed AND rule = '{r}') AS max_{r}" for r in VALUES)} FROM tail GROUP BY lang
+  SELECT lang, steps.* EXCLUDE (step) FROM taken JOIN steps USING (step)
 )
 SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND {" AND ".join(f"coalesce(CASE WHEN {b} > 0 THEN {a} / {b} ELSE 0.0 END <= max_{r}, true)" for r, (a, b) in VALUES.items())} AS kept

@@ -1,11 +1,12 @@
 """Quality rules with risk-controlled thresholds, in built-in functions only.
 
-Rules count what a whole text holds. Each rule's cutoffs are candidates on a grid; on labelled good documents of a
-stratum (its language) a cutoff is allowed if the exact binomial test rejects "it fails more than ``risk`` of the good
-ones": the chance of so few false rejections at that risk is at most ``error`` divided by the number of tests
-(Bonferroni over strata, rules and cutoffs). Of the allowed cutoffs each rule takes the strictest; rules share the risk, so
-together they reject at most ``risk`` of the good documents of each stratum with confidence ``1 - error``. A stratum with
-too few labelled documents allows no cutoff and rejects by the base rule only.
+Rules count what a whole text holds. Their cutoffs form one path from loose to strict, fixed beforehand: each step
+tightens one rule by one place of its grid, and rules take turns so that all get strict together. On labelled good documents of
+a stratum (its language) a step is allowed if the exact binomial test rejects "its cutoffs together fail more than ``risk`` of the good
+ones": the chance of so few false rejections at that risk is at most ``error`` divided by the number of strata (Bonferroni). Steps are
+tested in their order and the last one before the first that isn't allowed is taken; tested so, the steps need no further
+correction. With confidence ``1 - error`` no stratum loses more than ``risk`` of its good documents. A stratum
+with too few labelled documents (with five strata and no false rejection, some 460) allows no step and rejects by the base rule only.
 
 Defined results: null and empty texts have no words and fail the base rule; a null language is a stratum of its own;
 labels repeated for a document count once (good only if all say so); repeated documents are judged alike; other columns
@@ -113,26 +114,33 @@ def binomial_tail(k: Column, n: Column, p: Column | float) -> Column:
     return F.aggregate(terms, F.lit(0.0), lambda a, i: a + term(i))
 
 
+def path(grids: dict[str, list[float]] = GRIDS) -> list[dict[str, float]]:
+    """The cutoffs of each step, from loose to strict; rules that a step doesn't limit yet are left out."""
+    moves = sorted(((place + 1) / len(grid), rule, cutoff) for rule, grid in grids.items() for place, cutoff in enumerate(sorted(grid, reverse=True)))
+    steps: list[dict[str, float]] = []
+    for _, rule, cutoff in moves:
+        steps.append((steps[-1] if steps else {}) | {rule: float(cutoff)})
+    return steps
+
+
 def thresholds(good: DataFrame, risk: float, error: float, grids: dict[str, list[float]] = GRIDS) -> DataFrame:
-    """One row per stratum: ``stratum`` and a column per rule, null where no cutoff is allowed. ``good``: ``stratum`` and the measures.
+    """One row per stratum: ``stratum`` and a column per rule, null where it has no cutoff. ``good``: ``stratum`` and the measures.
 
     The result has a row for each stratum and is aggregated in one pass over the labelled good documents.
     """
-    values = rule_values()
-    pairs = [(rule, c) for rule, grid in grids.items() for c in grid]
-    fails = [F.count_if(values[rule] > c).alias(f"f{j}") for j, (rule, c) in enumerate(pairs)]
-    counted = good.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *fails)
-    tests = F.lit(float(len(pairs))) * F.count(F.lit(1)).over(Window.partitionBy())
-    each = counted.withColumn("tests", tests).select(
-        "stratum",
-        "n",
-        "tests",
-        F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(float(c)).alias("cutoff"), F.col(f"f{j}").alias("k")) for j, (r, c) in enumerate(pairs)])).alias("x"),
-    )
-    share = risk / len(grids)
-    small = (F.col("x.k") <= F.col("n") * share) & (binomial_tail(F.col("x.k"), F.col("n"), share) <= error / F.col("tests"))
-    allowed = F.when(small, F.col("x.cutoff"))
-    return each.groupBy("stratum").agg(*[F.min(F.when(F.col("x.rule") == r, allowed)).alias(f"max_{r}") for r in grids])
+    values, steps = rule_values(), path(grids)
+    # A document fails from some step on, so it's enough to count by the first step that it fails.
+    places = {(rule, step[rule]): j for j, step in reversed(list(enumerate(steps))) for rule in step}
+    fails_at = [F.when(values[rule] > cutoff, F.lit(j)) for (rule, cutoff), j in places.items()]
+    first = good.select("stratum", F.coalesce(F.least(*fails_at), F.lit(len(steps))).alias("first"))
+    counted = first.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("first") <= j).alias(f"k{j}") for j in range(len(steps))])
+    tests = F.count(F.lit(1)).over(Window.partitionBy())
+    ks = F.array(*[F.struct(F.lit(j).alias("j"), F.col(f"k{j}").alias("k")) for j in range(len(steps))])
+    each = counted.withColumn("tests", tests).select("stratum", "n", "tests", F.explode(ks).alias("x"))
+    allowed = (F.col("x.k") <= F.col("n") * risk) & (binomial_tail(F.col("x.k"), F.col("n"), risk) <= error / F.col("tests"))
+    taken = each.groupBy("stratum").agg(F.coalesce(F.min(F.when(~allowed, F.col("x.j"))), F.lit(len(steps))).alias("stop"))
+    cut = F.array(*[F.struct(*[F.lit(step.get(r)).cast("double").alias(f"max_{r}") for r in grids]) for step in [{}, *steps]])
+    return taken.select("stratum", F.get(cut, F.col("stop")).alias("c")).select("stratum", "c.*")
 
 
 def judge(docs: DataFrame, labels: DataFrame, *, risk: float = 0.01, error: float = 0.05) -> DataFrame:
