@@ -13,18 +13,25 @@ def _text(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def compare_expected(results: DataFrame, expected: DataFrame) -> DataFrame:
+def _same_number(want: Column, got: Column, kind: Column) -> Column:
+    """Whether both read as the same number in the precision of the cell: whole, single or double."""
+    same = lambda t: F.coalesce(want.try_cast(t) == got.try_cast(t), F.lit(False))
+    return F.when(kind == "count", same("decimal(38,6)")).when(kind == "median", same("float")).otherwise(same("double"))
+
+
+def compare_expected(results: DataFrame, expected: DataFrame, by_number: bool = False) -> DataFrame:
     """Results with the nine report columns and an ``outcome`` per row.
 
     ``results`` carries ``cell, subset, numerator, denominator, actual, query`` as text
     and ``expected`` one text per ``cell, subset``. Equal texts are a ``hit``, different
     ones a ``miss``; if either is absent or empty the row is ``missing``. Expected values
-    without a result are not reported.
+    without a result are not reported. With ``by_number`` texts that read as the same number in the precision of the result's
+    ``kind`` are a hit too (``12`` and ``12.0``, ``1.5`` and ``1.50E0``); statuses stay texts.
     """
     joined = results.join(expected, ["cell", "subset"], "left")
     want, got = _text("expected"), _text("actual")
     outcome = (
-        F.when((want == "") | (got == ""), "missing").when(want == got, "hit").otherwise("miss")
+        F.when((want == "") | (got == ""), "missing").when((want == got) | _same_number(want, got, F.col("kind")) if by_number else want == got, "hit").otherwise("miss")
     )
     shown = {
         "cell": F.col("cell"),

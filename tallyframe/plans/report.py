@@ -275,7 +275,7 @@ class CohortReport:
         ]
         return local_table(self.spark, rows, "cell string, kind string, query string")
 
-    def compare(self, expected: DataFrame) -> DataFrame:
+    def compare(self, expected: DataFrame, by_number: bool = False) -> DataFrame:
         """Every result against its expected value, see ``operators.compare_expected``."""
         national, query = F.col("subset") == layout.NATIONAL, F.col("query")
         operands = F.split(query, "/")
@@ -299,20 +299,21 @@ class CohortReport:
             .select(
                 "cell",
                 "subset",
+                "kind",
                 F.col("numerator_text").alias("numerator"),
                 F.col("denominator_text").alias("denominator"),
                 "actual",
                 F.when(national, query).otherwise(of_subset).alias("query"),
             )
         )
-        return compare_expected(shown, expected)
+        return compare_expected(shown, expected, by_number)
 
-    def report(self, expected: DataFrame) -> DataFrame:
+    def report(self, expected: DataFrame, by_number: bool = False) -> DataFrame:
         """The nine-column report in key order."""
-        return report_rows(self.compare(expected))
+        return report_rows(self.compare(expected, by_number))
 
-    def accuracy(self, expected: DataFrame) -> DataFrame:
-        return accuracy_summary(self.compare(expected))
+    def accuracy(self, expected: DataFrame, by_number: bool = False) -> DataFrame:
+        return accuracy_summary(self.compare(expected, by_number))
 
     def run_stats(self) -> DataFrame:
         """Size of the run: rows, cells, subsets, cell values, and cell values times rows."""

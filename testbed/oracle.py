@@ -159,14 +159,30 @@ def _ratios(names) -> dict[str, tuple[str, str]]:
     return {n: (catalog[n].num, catalog[n].den) for n in names}
 
 
-def _catalog_report() -> str:
+def _catalog_rows() -> tuple[dict[str, str], str]:
     catalog = standard_catalog()
     counts, medians = catalog.names(COUNT, REFINE), catalog.names(MEDIAN)
     aggregates = {n: count_of(text(n)) for n in counts} | {n: median_of(text(n)) for n in medians}
-    body = value_rows([*counts, *medians]) + "\nUNION ALL " + ratio_rows(_ratios(catalog.names(RATIO)))
+    return aggregates, value_rows([*counts, *medians]) + "\nUNION ALL " + ratio_rows(_ratios(catalog.names(RATIO)))
+
+
+def _catalog_report() -> str:
+    aggregates, body = _catalog_rows()
     return with_input(body, levels(aggregates))
 
 
+def _reconciled_all() -> str:
+    """Outcomes follow from which of the six forms an expected line has."""
+    form = "(ascii(substr(subset, 2, 1)) + ascii(substr(cell, 3, 1))) % 6"
+    aggregates, body = _catalog_rows()
+    return with_input(
+        f"SELECT cell, subset, value, numerator, denominator, CASE WHEN {form} < 2 THEN 'true' ELSE 'false' END AS match, "
+        f"CASE WHEN {form} < 2 THEN 'hit' WHEN {form} IN (2, 5) THEN 'miss' ELSE 'missing' END AS outcome, "
+        f"CASE WHEN status <> 'OK' THEN status END AS status FROM ({body})",
+        levels(aggregates),
+    )
+
+
 def _fused() -> str:
     catalog = standard_catalog()
     counts, medians = catalog.names(COUNT, REFINE), catalog.names(MEDIAN)
@@ -351,6 +367,7 @@ def oracles() -> dict[str, str]:
         ),
         "window_grid": _window_grid(),
         "cell_status": _statuses(),
+        "reconcile_all": _reconciled_all(),
         "compare_expected": reconciled("SELECT * FROM compared"),
         "report_rows": reconciled(
             "SELECT cell, subset, value, numerator, denominator, expected, actual, match, query FROM compared "

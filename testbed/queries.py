@@ -364,6 +364,28 @@ def accuracy_query(spark, sf_dir):
     return report(spark, sf_dir, "both", COMPARED).accuracy(expected_frame(spark, sf_dir))
 
 
+def reconcile_all(spark, sf_dir):
+    """All 252 cells against expected lines: the number in another writing, as it is, wrong, empty, absent, and twice with different values."""
+    run = report(spark, sf_dir, "both")
+    lines = run.results().selectExpr(
+        "explode(CASE (ascii(substr(subset, 2, 1)) + ascii(substr(cell, 3, 1))) % 6 "
+        "WHEN 0 THEN array(concat(cell, '-', subset, ' = ', CASE WHEN status = 'OK' THEN '+' ELSE '' END, actual)) "
+        "WHEN 1 THEN array(concat(cell, '-', subset, ' = ', actual)) "
+        "WHEN 2 THEN array(concat(cell, '-', subset, ' = x', actual)) "
+        "WHEN 3 THEN array(concat(cell, '-', subset)) "
+        "WHEN 4 THEN array('// not known') "
+        "ELSE array(concat(cell, '-', subset, ' = ', actual), concat(cell, '-', subset, ' = zzz')) END) AS value"
+    )
+    compared = run.compare(parse_expected(lines), by_number=True)
+    number = lambda c: F.col(c).try_cast("double").alias(c)
+    return compared.select(
+        "cell", "subset",
+        F.when(F.col("cell").isin(MEDIANS), F.col("value").try_cast("float").cast("double")).otherwise(F.col("value").try_cast("double")).alias("value"),
+        number("numerator"), number("denominator"), "match", "outcome",
+        F.when(F.col("actual").isin("a/0", "undefined"), F.col("actual")).alias("status"),
+    )
+
+
 # --- run control ------------------------------------------------------------------
 
 
@@ -437,6 +459,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compare_expected": compare_expected_query,
     "report_rows": report_rows_query,
     "accuracy_summary": accuracy_query,
+    "reconcile_all": reconcile_all,
     "run_selection": run_selection,
     "report_both_modes": report_both_modes,
     "run_stats": run_stats,

@@ -74,3 +74,13 @@ def test_queries_shown_in_the_report(spark, make_input):
     assert rows[("R", "AK")]["query"] == "A-AK/A-AK" and rows[("R", "ALL")]["query"] == "A/A"
     assert rows[("R", "AK")]["numerator"] == "1" and rows[("A", "ALL")]["query"] == "p918 = 1"
     assert tuple(run.accuracy(expected).first()) == (1, 0, 5, 1 / 6 * 100)
+
+
+def test_numbers_in_another_writing(spark):
+    rows = [("c", "12", "count"), ("m", "1.5", "median"), ("r", "0.1", "ratio"), ("d", "0.1", "ratio"), ("z", "a/0", "ratio"), ("u", "undefined", "median"), ("f", "0.1", "median")]
+    wants = {"c": "12.0", "m": "1.50E0", "r": "+0.10", "d": "0.1000000001", "z": "a/0", "u": "0", "f": "0.10000000149"}
+    results = spark.createDataFrame([(c, "ALL", "", "", a, "", k) for c, a, k in rows], "cell string, subset string, numerator string, denominator string, actual string, query string, kind string")
+    expected = spark.createDataFrame([(c, "ALL", v) for c, v in wants.items()], "cell string, subset string, expected string")
+    outcomes = lambda **o: {r["cell"]: r["outcome"] for r in compare_expected(results, expected, **o).collect()}
+    assert outcomes(by_number=True) == {"c": "hit", "m": "hit", "r": "hit", "d": "miss", "z": "hit", "u": "miss", "f": "hit"}
+    assert outcomes() == {c: "hit" if c == "z" else "miss" for c in wants}
