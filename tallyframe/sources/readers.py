@@ -23,9 +23,16 @@ def read_participants(spark: SparkSession, path: str) -> DataFrame:
 
 
 def typed_reference(table: DataFrame, schema: str) -> DataFrame:
-    """The named columns cast to the declared types, unreadable values as NULL."""
+    """The named columns cast to the declared types: whole numbers may be written as decimals, unreadable values are NULL."""
+
+    def typed(name: str, kind: str) -> Column:
+        column = F.col(name)
+        if kind == "int":
+            return F.coalesce(column.try_cast("int"), column.try_cast("decimal(38,10)").try_cast("int"))
+        return column.try_cast(kind)
+
     fields = [f.strip().split(" ") for f in schema.split(",")]
-    return table.select(*[F.col(name).try_cast(kind).alias(name) for name, kind in fields])
+    return table.select(*[typed(name, kind).alias(name) for name, kind in fields])
 
 
 def read_reference_csv(

@@ -299,6 +299,16 @@ def oracles() -> dict[str, str]:
             "CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN '' ELSE CAST(o_custkey AS VARCHAR) END AS expected "
             "FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED')"
         ),
+        "typed_cohorts": (
+            "SELECT CAST(o_orderkey AS INTEGER) AS QuarterID, CASE WHEN o_custkey % 3 < 2 THEN CAST(o_custkey AS INTEGER) END AS MeasureID, "
+            "CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 END AS IsActive, strftime(o_orderdate, '%Y-%m-%d 00:00:00') AS CoveredDataStartDate, "
+            "strftime(o_orderdate, '%Y-%m-%d') AS CoveredDataEndDate FROM orders"
+        ),
+        "static_subsets": "SELECT concat(upper(substr(n_name, 1, 2)), n_nationkey) AS subset FROM nation",
+        "prepare_odd_forms": (
+            "SELECT CAST(o_orderdate AS DATE) AS p900, CASE WHEN o_custkey % 4 < 3 THEN CAST(o_custkey AS INTEGER) END AS p918, "
+            "CAST(CAST(CAST(o_totalprice AS VARCHAR) AS FLOAT) AS DOUBLE) AS p1704, CAST(o_orderkey AS VARCHAR) AS p3000 FROM orders"
+        ),
         "cell_catalog": (
             "SELECT concat('P', p_partkey) AS cell, "
             "CASE p_partkey % 4 WHEN 0 THEN 'count' WHEN 1 THEN 'median' WHEN 2 THEN 'refine' ELSE 'ratio' END AS kind, "

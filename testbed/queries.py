@@ -16,6 +16,7 @@ from tallyframe.operators import (
     listed_subset,
     long_counts,
     periods,
+    prepare_input,
     report_windows,
     subset_list,
     window_bounds,
@@ -24,6 +25,7 @@ from tallyframe.operators import (
 from tallyframe.plans import adhoc_sql, bind, window_report
 from tallyframe.plans.catalog import COUNT, MEDIAN, RATIO, REFINE
 from tallyframe.sources import parse_definitions, parse_expected
+from tallyframe.sources.readers import COHORTS_SCHEMA, subset_codes, typed_reference
 from testbed.participants import cohorts, measures, participants, participants_raw, read_table
 
 BOUNDS = {
@@ -123,6 +125,36 @@ def subsets(spark, sf_dir):
     return subset_list(participants(spark, sf_dir)).orderBy("subset")
 
 
+def typed_cohorts(spark, sf_dir):
+    """Cohorts as a CSV file gives them, all text: whole numbers, decimals and junk, from orders."""
+    text = read_table(spark, sf_dir, "orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS QuarterID",
+        "CASE o_custkey % 3 WHEN 0 THEN concat(o_custkey, '.0') WHEN 1 THEN CAST(o_custkey AS STRING) ELSE 'none' END AS MeasureID",
+        "CASE o_orderstatus WHEN 'F' THEN '1' WHEN 'O' THEN '0' END AS IsActive",
+        "concat(date_format(o_orderdate, 'yyyy-MM-dd'), ' 00:00:00') AS CoveredDataStartDate",
+        "date_format(o_orderdate, 'yyyy-MM-dd') AS CoveredDataEndDate",
+    )
+    return typed_reference(text, COHORTS_SCHEMA)
+
+
+def static_subsets(spark, sf_dir):
+    """A static list's line made of all nations; later lines don't count."""
+    line = read_table(spark, sf_dir, "nation").agg(F.array_join(F.sort_array(F.collect_list(F.concat(F.lit(" "), F.upper(F.substring("n_name", 1, 2)), F.col("n_nationkey").cast("string")))), ","))
+    return subset_codes(line.toDF("value"))
+
+
+def prepare_odd_forms(spark, sf_dir):
+    """Dates as whole numbers, codes as decimals, both as they come from other exports."""
+    raw = read_table(spark, sf_dir, "orders").selectExpr(
+        "CAST(date_format(o_orderdate, 'yyyyMMdd') AS INT) AS PIRL900",
+        "CASE o_custkey % 4 WHEN 0 THEN concat(o_custkey, '.0') WHEN 1 THEN concat(o_custkey, '.9') WHEN 2 THEN concat('0', o_custkey) ELSE 'x' END AS PIRL918",
+        "CAST(o_totalprice AS STRING) AS PIRL1704",
+        "CAST(o_orderkey AS STRING) AS PIRL3000",
+    )
+    ready = prepare_input(raw, kept=["PIRL900", "PIRL918", "PIRL1704", "PIRL3000"])
+    return ready.withColumn("p1704", F.col("p1704").cast("double"))
+
+
 def expected_values(spark, sf_dir):
     """Every order as a line of an expected-values file, in all the forms such lines take."""
     lines = read_table(spark, sf_dir, "orders").selectExpr(
@@ -435,6 +467,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "input_count": input_count,
     "subset_list": subsets,
     "expected_values": expected_values,
+    "typed_cohorts": typed_cohorts,
+    "static_subsets": static_subsets,
+    "prepare_odd_forms": prepare_odd_forms,
     "cell_catalog": cell_catalog,
     "periods": period_table,
     **{f"report_window_{w}": window_query(w) for w in ("r4q", "cq", "ptd")},
