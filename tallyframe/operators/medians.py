@@ -20,6 +20,7 @@ from tallyframe.operators.counts import LEVEL, count_where, lenient, spread_leve
 
 BUCKETS_PER_OCTAVE = 1024
 MAX_BROADCAST_PICKS = 100_000
+GROUP = ("cell", *LEVEL)
 _LOWEST_OCTAVE = 150  # below the smallest single-precision exponent
 _HIGHEST_OCTAVE = 200.0  # above the largest, stands in for infinity
 _NAN_BUCKET = 1 << 40
@@ -86,25 +87,38 @@ def exact_medians(
         .where("n > 0")
         .select("cell", F.when(F.col("listed"), F.col("code")).alias("subset"), "x", "n")
     )
+    rows = median_levels(rows, national, by_subset).withColumn("bucket", value_bucket(F.col("x")))
+    picked = middle_buckets(rows)
+    known = max_subsets if by_subset else 0
+    if known is not None and 2 * len(conditions) * (known + 1) <= MAX_BROADCAST_PICKS:
+        picked = F.broadcast(picked)
+    return middle_values(rows, picked)
+
+
+def median_levels(rows: DataFrame, national: bool, by_subset: bool) -> DataFrame:
+    """Rows ``cell, subset, n`` and more as contributions to the levels asked for; a NULL subset counts for the nation only."""
+    others = [c for c in rows.columns if c != "subset"]
     if national and by_subset:
         rows = spread_levels(rows)
     else:
         own = "subset" if by_subset else f"'{layout.NATIONAL}'"
-        rows = rows.selectExpr(f"{national} AS national", f"{own} AS subset", "cell", "x", "n")
-    rows = rows.select(
-        "cell", "national", F.coalesce("subset", F.lit("")).alias("subset"), "x", "n",
-        value_bucket(F.col("x")).alias("bucket"),
-    )
-
-    group = ["cell", *LEVEL]
-    totals = rows.groupBy(*group, "bucket").agg(F.sum("n").alias("held"))
-    whole = Window.partitionBy(*group)
+        rows = rows.selectExpr(f"{national} AS national", f"{own} AS subset", *others)
+    return rows.select("national", F.coalesce("subset", F.lit("")).alias("subset"), *others)
+
+
+def middle_buckets(rows: DataFrame) -> DataFrame:
+    """The one or two buckets of each cell and level that hold its middle ranks, and those ranks within them.
+
+    ``rows``: ``cell, national, subset, bucket, n``, any number of rows a bucket.
+    """
+    totals = rows.groupBy(*GROUP, "bucket").agg(F.sum("n").alias("held"))
+    whole = Window.partitionBy(*GROUP)
     upto = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    picked = (
+    return (
         totals.withColumn("before", F.sum("held").over(upto) - F.col("held"))
         .withColumn("size", F.sum("held").over(whole))
         .select(
-            *group,
+            *GROUP,
             "bucket",
             "held",
             (F.expr("(size + 1) div 2") - F.col("before")).alias("lower"),
@@ -113,23 +127,22 @@ def exact_medians(
         .where("lower BETWEEN 1 AND held OR upper BETWEEN 1 AND held")
     )
 
-    known = max_subsets if by_subset else 0
-    if known is not None and 2 * len(conditions) * (known + 1) <= MAX_BROADCAST_PICKS:
-        picked = F.broadcast(picked)
 
-    ranked = Window.partitionBy(*group, "bucket").orderBy("x")
+def middle_values(rows: DataFrame, picked: DataFrame) -> DataFrame:
+    """``cell, national, subset, median`` from rows ``cell, national, subset, bucket, x, n`` and their picked buckets."""
+    ranked = Window.partitionBy(*GROUP, "bucket").orderBy("x")
     ranked = ranked.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     middle = (
-        rows.join(picked, [*group, "bucket"])
+        rows.join(picked, [*GROUP, "bucket"])
         # the nation's rows come from every subset: one row a value, whatever the number of subsets
-        .groupBy(*group, "bucket", "x")
+        .groupBy(*GROUP, "bucket", "x")
         .agg(F.sum("n").alias("n"), F.max("lower").alias("lower"), F.max("upper").alias("upper"))
         .withColumn("reached", F.sum("n").over(ranked))
-        .groupBy(*group)
+        .groupBy(*GROUP)
         .agg(
             F.max(F.when(F.expr("lower BETWEEN reached - n + 1 AND reached"), F.col("x"))).alias("low"),
             F.max(F.when(F.expr("upper BETWEEN reached - n + 1 AND reached"), F.col("x"))).alias("high"),
         )
     )
     mean = (F.col("low").cast("double") + F.col("high").cast("double")) / 2
-    return middle.select(*group, mean.cast("float").alias("median"))
+    return middle.select(*GROUP, mean.cast("float").alias("median"))

@@ -21,10 +21,11 @@ from tallyframe.operators.counts import (
     spread_levels,
     zero_rows,
 )
+from tallyframe.operators.increments import State, count_state, digest, median_state
 from tallyframe.operators.masks import mask_counts
 from tallyframe.operators.medians import exact_medians
 from tallyframe.operators.reconcile import accuracy_summary, compare_expected, report_rows
-from tallyframe.operators.subsets import STANDARD, is_listed, listed_subset, subset_list
+from tallyframe.operators.subsets import STANDARD, code_length, is_listed, listed_subset, subset_list
 from tallyframe.plans.catalog import COUNT, MEDIAN, RATIO, Catalog, ResolvedCell, bind
 from tallyframe.plans.containment import failing_conditions
 
@@ -75,6 +76,7 @@ class CohortReport:
     cells: names to run, in this order; without it the whole catalog
     national_medians: also report medians of the nation in mode ``subsets``
     contain: a condition that some row could make fail is ``FAILED`` before the run; without it only those that Spark rejects
+    state: counts and medians come from these tables of ``save_state`` instead of ``data``, of which only the columns matter then
     """
 
     def __init__(
@@ -89,6 +91,7 @@ class CohortReport:
         national_medians: bool = False,
         max_code_length: int | None = STANDARD,
         contain: bool = True,
+        state: State | None = None,
     ):
         if mode not in MODES:
             raise ValueError(f"unknown mode {mode!r}, use one of {', '.join(MODES)}")
@@ -108,6 +111,9 @@ class CohortReport:
         if national_medians:
             self.levels[MEDIAN] = (True, self.levels[MEDIAN][1])
         self.cells = self._runnable(catalog.select(cells))
+        self.state = state
+        if state is not None:
+            state.require(self._digests())
 
     def _runnable(self, cells: list[ResolvedCell]) -> list[ResolvedCell]:
         """Cells with bound conditions; one that Spark rejects or that may raise fails alone."""
@@ -151,10 +157,41 @@ class CohortReport:
 
     def _grouped(self, data: DataFrame, conditions: Mapping[str, str], subset: Column | None = None) -> DataFrame:
         """Counters by subset, through masks where many conditions share their tests."""
+        if self.state is not None:
+            return self.state.grouped({c: self._digest(text) for c, text in conditions.items()}, subset is not None)
+        return self._counted(data, conditions, subset)
+
+    def _counted(self, data: DataFrame, conditions: Mapping[str, str], subset: Column | None = None) -> DataFrame:
         if len(conditions) < MASKED_FROM:
             return group_counts(data, conditions, subset)
         return mask_counts(data, conditions, self.analysis, subset)
 
+    # --- state ------------------------------------------------------------------
+
+    def _digest(self, condition: str, value: str | None = None) -> str:
+        rule = [self.subset_column, self.subsets, code_length(self.subset_column, self.max_code_length)]
+        return digest(condition, rule, value)
+
+    def _digests(self) -> dict[str, str]:
+        """Digest -> condition of every count and median of the run."""
+        counts = {self._digest(text): text for text in self._counters}
+        return counts | {self._digest(text, value): text for value, text in self._middles}
+
+    def save_state(self, state: State, load: Column) -> None:
+        """Keeps this run's counts and medians of every load in ``data``, to be summed by runs with ``state``.
+
+        Loads that were kept before are replaced. Windows are part of a condition: runs need the same bounds.
+        """
+        counts = count_state(self.data, self._digests(), self._key(), load, self._counted)
+        values = None
+        by_value: dict[str, dict[str, str]] = {}
+        for value, text in self._middles:
+            by_value.setdefault(value, {})[self._digest(text, value)] = text
+        for value, conditions in by_value.items():
+            rows = median_state(self.data, conditions, value, self._key(), load)
+            values = rows if values is None else values.unionByName(rows)
+        state.save(counts, values)
+
     def _wide_counts(self) -> DataFrame:
         conditions = {column: text for text, column in self._counters.items()}
         if self.mode == "national":
@@ -181,7 +218,12 @@ class CohortReport:
         national, by_subset = self.levels[MEDIAN]
         data = self.data if national else self._listed_rows()
         known = None if self.subsets is None else len(self.subsets)
-        parts = [
+        if self.state is not None and self._middles:
+            digests = {column: self._digest(text, value) for (value, text), column in self._middles.items()}
+            by_value, parts = {}, [self.state.medians(digests, national, by_subset)]
+        else:
+            parts = []
+        parts += [
             exact_medians(data, conditions, value, self._key(), national, by_subset, known)
             for value, conditions in by_value.items()
         ]

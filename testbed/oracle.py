@@ -398,12 +398,12 @@ def oracles() -> dict[str, str]:
                 "(SELECT * FROM keyed WHERE k IS NOT NULL)",
             ),
         ),
-        "report_both_modes": with_input(
+        **dict.fromkeys(("report_both_modes", "report_from_loads"), with_input(
             stacked(both, "value", "DOUBLE")
             + "\nUNION ALL SELECT 'G29', subset, \"G29\" FROM agg"
             + "\nUNION ALL SELECT 'G05', subset, CASE WHEN \"F04\" <> 0 THEN CAST(\"G05n\" AS DOUBLE) / \"F04\" END FROM agg",
             levels({c: count_of(text(c)) for c in both} | {"G29": median_of(text("G29"))}),
-        ),
+        )),
         "run_stats": with_input(
             'SELECT count(*) AS "rows", CAST(252 AS BIGINT) AS cells, count(DISTINCT k) AS subsets, '
             "252 * count(DISTINCT k) AS cell_values, 252 * count(DISTINCT k) * count(*) AS calculations FROM keyed"

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from tallyframe import Catalog, Cell, CohortReport, standard_catalog
 from tallyframe.functions import ratio_status, safe_ratio
 from tallyframe.operators import (
+    State,
     count_levels,
     exact_medians,
     listed_subset,
@@ -426,7 +429,26 @@ def run_selection(spark, sf_dir):
 
 
 def report_both_modes(spark, sf_dir):
-    return numbers(report(spark, sf_dir, "both", ["F04", "F10", "H16", "G05n", "G05", "G29"]))
+    return numbers(report(spark, sf_dir, "both", BOTH_MODES))
+
+
+def kept_folder(spark) -> str:
+    """A new folder in the one that driver and executors share; a local one only where none is set, as in tests."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallyframe-")
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+BOTH_MODES = ["F04", "F10", "H16", "G05n", "G05", "G29"]
+
+
+def report_from_loads(spark, sf_dir):
+    """The report from state kept per load (year of entry); the loads of one year are kept twice and count once."""
+    state, year = State(spark, kept_folder(spark)), F.year("p900")
+    run = report(spark, sf_dir, "both", BOTH_MODES)
+    run.save_state(state, year)
+    again = CohortReport(run.data.where(year == 1995), standard_catalog(), BOUNDS, mode="both", cells=BOTH_MODES)
+    again.save_state(state, year)
+    return numbers(report(spark, sf_dir, "both", BOTH_MODES, state=state))
 
 
 def run_stats(spark, sf_dir):
@@ -497,6 +519,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reconcile_all": reconcile_all,
     "run_selection": run_selection,
     "report_both_modes": report_both_modes,
+    "report_from_loads": report_from_loads,
     "run_stats": run_stats,
     "adhoc_sql": adhoc,
     "window_grid": window_grid,
