@@ -4,6 +4,9 @@ Words, with a mark at both ends, are read in windows of ``WINDOW`` characters at
 subsequences of ``ORDER`` characters, each weighted by ``DECAY`` to the length it spans in both, is scaled to 1 for equal
 windows and raised to ``POWER``: insults with inserted, dropped or changed characters or new endings stay near, other words
 don't. It is taken as 0 where fewer than half of the landmark's pairs of characters (neighbours, or one apart) are in the window.
+A word is also read without what is put between its letters (punctuation, or one and the same character after each), with
+digits and signs as the letters they stand for, and with repeated letters once; runs of words of at most two letters are read as
+one word as well. So ``n.u.m.b``, ``n u m b``, ``nxuxmxb`` and ``nuummb`` have the windows of ``numb``, though no training text spells it so.
 Landmarks are the windows that speak most for the label in a training sample, none too near to another. A document's kernel
 with a landmark is the largest of its windows'; Nyström's root of the landmarks' kernel turns it into features, a
 linear machine with squared hinge loss and Platt's sigmoid into the score.
@@ -18,7 +21,7 @@ there are none; a null id is not held out and has no label. Repeated rows get eq
 from __future__ import annotations
 
 import math
-from collections import Counter
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,6 +33,10 @@ from pyspark.sql import functions as F
 
 ORDER, DECAY, WINDOW, POWER = 3, 0.6, 6, 4
 PAIR_CELLS = 1024
+#: Letters that digits and signs stand for.
+SPELLED = str.maketrans("013457@$!", "oieastasi")
+#: What another reading may take away: signs and digits, a letter twice, a character between letters.
+OTHERWISE = re.compile(r"[\W\d_]|(.)\1|^.?(.)(?:.\2){3}")
 EDGES = ".,:;!?\"()[]{}<>|#*$%&'-_=+/\\"
 
 
@@ -118,6 +125,40 @@ def windows(word: str) -> list[str]:
     return [marked[k : k + WINDOW] for k in range(max(1, len(marked) - WINDOW + 1))]
 
 
+def readings(word: str) -> list[str]:
+    """The word and what it may stand for, each once."""
+    if not OTHERWISE.search(word):
+        return [word]
+    out = {word: None}
+    for own, between in ((word[::2], word[1::2]), (word[1::2], word[::2])):
+        if len(between) > 3 and len(set(between)) == 1:
+            out[own] = None
+    for x in list(out):
+        for y in (x, x.translate(SPELLED)):
+            letters = "".join(c for c in y if c.isalnum())
+            out[letters] = None
+            out["".join(c for c, before in zip(letters, " " + letters) if c != before)] = None
+    return [x for x in out if x]
+
+
+def spelled_out(words: list[str], at: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[str]]:
+    """Runs of words of at most two letters as one word each: the text it stands in, and the word, if that has four letters."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    doc = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+    short = (sizes[at] <= 2) if len(at) else np.zeros(0, bool)
+    starts = short & np.concatenate([[True], ~short[:-1] | (doc[1:] != doc[:-1])])[: len(short)]
+    first = np.flatnonzero(starts)
+    run = np.cumsum(starts)[short] - 1
+    length = np.bincount(run, minlength=len(first))
+    found, where = [], []
+    for i in np.flatnonzero(length > 2).tolist():
+        joined = "".join([words[j] for j in at[first[i] : first[i] + length[i]].tolist()])
+        if len(joined) >= 4:
+            found.append(joined)
+            where.append(doc[first[i]])
+    return np.array(where, np.int64), found
+
+
 class Reader:
     """Largest kernels of documents' windows with the landmarks; keeps what it knows of up to ``most`` words."""
 
@@ -129,7 +170,7 @@ class Reader:
 
     def _learn(self, words: list[str]) -> None:
         for begin in range(0, len(words), 5000):
-            some = [(w, windows(w)) for w in words[begin : begin + 5000]]
+            some = [(w, [x for r in readings(w) for x in windows(r)]) for w in words[begin : begin + 5000]]
             new = list({x for _, parts in some for x in parts if x not in self.seen})
             for k in range(0, len(new), 10_000):
                 part = new[k : k + 10_000]
@@ -148,14 +189,16 @@ class Reader:
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
         words, at, ends = split_words(texts)
+        in_doc, joined = spelled_out(words, at, ends)
         if len(self.known) > self.most:
             self.known.clear()
             self.seen.clear()
             self.rows.clear()
-        self._learn([w for w in words if w not in self.known])
+        self._learn(list(dict.fromkeys(w for w in [*words, *joined] if w not in self.known)))
         place = np.array([self.known[w] for w in words] or [0], np.int64)
         row_of = place[at] if len(at) else np.zeros(0, np.int64)
-        doc = np.repeat(np.arange(len(texts)), np.diff(ends))
+        row_of = np.concatenate([row_of, np.array([self.known[w] for w in joined], np.int64)])
+        doc = np.concatenate([np.repeat(np.arange(len(texts)), np.diff(ends)), in_doc])
         near = np.flatnonzero(row_of >= 0)
         out = np.zeros((len(texts), len(self.codes)))
         if len(near):

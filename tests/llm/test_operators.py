@@ -339,6 +339,27 @@ def test_toxicity_held_out(spark, none):
     assert toxicity.score(none, marks).count() == 0 and toxicity.score(frame, marks.limit(0)).where("score > 0").count() == 0
 
 
+def test_toxicity_finds_spellings_it_was_not_trained_on(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(600):
+        text = words(30, i).split()
+        if i % 3 == 0:
+            text.insert(rng.randrange(30), rng.choice(["wretchling", "numbskull"]))
+        rows.append((i, " ".join(text), "en", "s", "k", 0))
+    odd = [f(w) for w in ("numbskull", "wretchling") for f in (
+        ".".join, "-".join, " ".join, " . ".join, "x".join, lambda w: w[:4] + "-" + w[4:], lambda w: "".join(c * 2 for c in w), lambda w: w + "s",
+        lambda w: w.replace("u", "uuu").replace("e", "eee"), lambda w: w[:5] + "*" + w[5:], str.upper,
+    )] + ["wr3tchl1ng"]
+    rows += [(1000 + i, words(15, 900 + i) + f" {w} " + words(15, 950 + i), "en", "s", "k", 0) for i, w in enumerate(odd)]
+    fine = ["n o t a b a d i d e a", "a b c d e f g h", "it is as we do so", "- - - -", "1 2 3 4 5 6", "letter butter committee", "x1x2x3x4"]
+    rows += [(2000 + i, words(15, 800 + i) + f" {w} " + words(15, 850 + i), "en", "s", "k", 0) for i, w in enumerate(fine)]
+    marks = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(600)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.score(spark.createDataFrame(rows, SCHEMA), marks).collect()}
+    assert [w for i, w in enumerate(odd) if not got[1000 + i]["predicted"]] == []
+    assert [w for i, w in enumerate(fine) if got[2000 + i]["predicted"]] == []
+
+
 def test_neighbours_recall_and_edges(spark):
     rng = np.random.default_rng(4)
     v = rng.normal(size=(3000, 16)).astype(np.float32)
