@@ -11,11 +11,14 @@ from tallyframe.sources.readers import (
     read_subset_codes,
     subset_codes,
 )
+from tallyframe.sources.rejects import definition_rows, expected_rows, read_reference_checked, reference_rows
 from tallyframe.sources.sinks import csv_to_parquet, write_prepared, write_report
 
 __all__ = [
     "catalog_from",
     "csv_to_parquet",
+    "definition_rows",
+    "expected_rows",
     "parse_definitions",
     "parse_expected",
     "publish_reference",
@@ -24,9 +27,11 @@ __all__ = [
     "read_expected",
     "read_names",
     "read_participants",
+    "read_reference_checked",
     "read_reference_csv",
     "read_reference_jdbc",
     "read_subset_codes",
+    "reference_rows",
     "subset_codes",
     "write_prepared",
     "write_report",

@@ -22,17 +22,21 @@ def read_participants(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def typed_reference(table: DataFrame, schema: str) -> DataFrame:
-    """The named columns cast to the declared types: whole numbers may be written as decimals, unreadable values are NULL."""
+def typed_value(column: Column, kind: str) -> Column:
+    """The value as the declared type, NULL where it can't be read; whole numbers may be written as decimals."""
+    if kind == "int":
+        return F.coalesce(column.try_cast("int"), column.try_cast("decimal(38,10)").try_cast("int"))
+    return column.try_cast(kind)
+
 
-    def typed(name: str, kind: str) -> Column:
-        column = F.col(name)
-        if kind == "int":
-            return F.coalesce(column.try_cast("int"), column.try_cast("decimal(38,10)").try_cast("int"))
-        return column.try_cast(kind)
+def schema_fields(schema: str) -> list[tuple[str, str]]:
+    """Names and types of a schema such as ``a int, b string``."""
+    return [(name, kind) for name, kind in (f.strip().split(" ") for f in schema.split(","))]
 
-    fields = [f.strip().split(" ") for f in schema.split(",")]
-    return table.select(*[typed(name, kind).alias(name) for name, kind in fields])
+
+def typed_reference(table: DataFrame, schema: str) -> DataFrame:
+    """The named columns cast to the declared types: whole numbers may be written as decimals, unreadable values are NULL."""
+    return table.select(*[typed_value(F.col(name), kind).alias(name) for name, kind in schema_fields(schema)])
 
 
 def read_reference_csv(

@@ -304,6 +304,16 @@ def oracles() -> dict[str, str]:
             "CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 END AS IsActive, strftime(o_orderdate, '%Y-%m-%d 00:00:00') AS CoveredDataStartDate, "
             "strftime(o_orderdate, '%Y-%m-%d') AS CoveredDataEndDate FROM orders"
         ),
+        "rejected_lines": (
+            "WITH t AS (SELECT o_orderkey % 11 = 0 AS q, o_custkey % 5 = 1 AS m, o_orderstatus NOT IN ('F', 'O') AS a, "
+            "CASE WHEN o_custkey % 5 <> 2 THEN o_custkey END AS id, concat_ws(',', CASE WHEN o_orderkey % 11 = 0 THEN ' ' ELSE CAST(o_orderkey AS VARCHAR) END, "
+            "CASE o_custkey % 5 WHEN 0 THEN concat(o_custkey, '.0') WHEN 1 THEN 'none' WHEN 2 THEN '' ELSE CAST(o_custkey AS VARCHAR) END, "
+            "CASE o_orderstatus WHEN 'F' THEN '1' WHEN 'O' THEN '0' ELSE o_orderstatus END, strftime(o_orderdate, '%Y-%m-%d'), '') AS line FROM orders), "
+            "judged AS (SELECT *, concat_ws('; ', CASE WHEN m THEN 'MeasureID: no int' END, CASE WHEN q THEN 'QuarterID: nothing given' END, "
+            "CASE WHEN a THEN 'IsActive: no int' END) AS reason FROM t) "
+            "SELECT 'kept' AS reason, count(*) AS n, CAST(sum(id) AS BIGINT) AS ids FROM judged WHERE reason = '' "
+            "UNION ALL SELECT reason, count(*), count(DISTINCT line) FROM judged WHERE reason <> '' GROUP BY reason"
+        ),
         "static_subsets": "SELECT concat(upper(substr(n_name, 1, 2)), n_nationkey) AS subset FROM nation",
         "prepare_odd_forms": (
             "SELECT CAST(o_orderdate AS DATE) AS p900, CASE WHEN o_custkey % 4 < 3 THEN CAST(o_custkey AS INTEGER) END AS p918, "

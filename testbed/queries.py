@@ -27,7 +27,7 @@ from tallyframe.operators import (
 )
 from tallyframe.plans import adhoc_sql, bind, window_report
 from tallyframe.plans.catalog import COUNT, MEDIAN, RATIO, REFINE
-from tallyframe.sources import parse_definitions, parse_expected
+from tallyframe.sources import parse_definitions, parse_expected, reference_rows
 from tallyframe.sources.readers import COHORTS_SCHEMA, subset_codes, typed_reference
 from testbed.participants import cohorts, measures, participants, participants_raw, read_table
 
@@ -140,6 +140,24 @@ def typed_cohorts(spark, sf_dir):
     return typed_reference(text, COHORTS_SCHEMA)
 
 
+def cohort_texts(spark, sf_dir):
+    """Text lines of cohorts from orders: good ones, a decimal, junk, blanks, and a missing number."""
+    return read_table(spark, sf_dir, "orders").selectExpr(
+        "CASE WHEN o_orderkey % 11 = 0 THEN ' ' ELSE CAST(o_orderkey AS STRING) END AS QuarterID",
+        "CASE o_custkey % 5 WHEN 0 THEN concat(o_custkey, '.0') WHEN 1 THEN 'none' WHEN 2 THEN '' ELSE CAST(o_custkey AS STRING) END AS MeasureID",
+        "CASE o_orderstatus WHEN 'F' THEN '1' WHEN 'O' THEN '0' ELSE o_orderstatus END AS IsActive",
+        "date_format(o_orderdate, 'yyyy-MM-dd') AS CoveredDataStartDate",
+        "CAST(NULL AS STRING) AS CoveredDataEndDate",
+    )
+
+
+def rejected_lines(spark, sf_dir):
+    """Rejected cohort lines by reason beside the rows kept."""
+    rows, rejects = reference_rows(cohort_texts(spark, sf_dir), COHORTS_SCHEMA, "cohorts", required=["QuarterID"])
+    kept = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("MeasureID").alias("ids")).select(F.lit("kept").alias("reason"), "n", "ids")
+    return kept.unionByName(rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("line").alias("ids")))
+
+
 def static_subsets(spark, sf_dir):
     """A static list's line made of all nations; later lines don't count."""
     line = read_table(spark, sf_dir, "nation").agg(F.array_join(F.sort_array(F.collect_list(F.concat(F.lit(" "), F.upper(F.substring("n_name", 1, 2)), F.col("n_nationkey").cast("string")))), ","))
@@ -490,6 +508,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "subset_list": subsets,
     "expected_values": expected_values,
     "typed_cohorts": typed_cohorts,
+    "rejected_lines": rejected_lines,
     "static_subsets": static_subsets,
     "prepare_odd_forms": prepare_odd_forms,
     "cell_catalog": cell_catalog,
