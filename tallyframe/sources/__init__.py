@@ -12,10 +12,11 @@ from tallyframe.sources.readers import (
     subset_codes,
 )
 from tallyframe.sources.rejects import definition_rows, expected_rows, read_reference_checked, reference_rows
-from tallyframe.sources.sinks import csv_to_parquet, write_prepared, write_report
+from tallyframe.sources.sinks import clustered, csv_to_parquet, stored_bytes, write_prepared, write_report
 
 __all__ = [
     "catalog_from",
+    "clustered",
     "csv_to_parquet",
     "definition_rows",
     "expected_rows",
@@ -32,6 +33,7 @@ __all__ = [
     "read_reference_jdbc",
     "read_subset_codes",
     "reference_rows",
+    "stored_bytes",
     "subset_codes",
     "write_prepared",
     "write_report",

@@ -289,6 +289,7 @@ def oracles() -> dict[str, str]:
         "full_report": _catalog_report(),
         "scan_input": f"WITH {BASE} SELECT * FROM raw",
         "prepare_input": f"WITH {BASE} SELECT {prepared} FROM input",
+        "converted_input": f"WITH {BASE} SELECT {prepared} FROM input",
         "input_count": with_input('SELECT count(*) AS "rows" FROM input'),
         "subset_list": with_input(
             "SELECT DISTINCT p3000 AS subset FROM input WHERE length(p3000) < 3 ORDER BY subset"

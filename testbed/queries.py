@@ -27,7 +27,7 @@ from tallyframe.operators import (
 )
 from tallyframe.plans import adhoc_sql, bind, window_report
 from tallyframe.plans.catalog import COUNT, MEDIAN, RATIO, REFINE
-from tallyframe.sources import parse_definitions, parse_expected, reference_rows
+from tallyframe.sources import csv_to_parquet, parse_definitions, parse_expected, reference_rows
 from tallyframe.sources.readers import COHORTS_SCHEMA, subset_codes, typed_reference
 from testbed.participants import cohorts, measures, participants, participants_raw, read_table
 
@@ -120,6 +120,15 @@ def prepared_input(spark, sf_dir):
     return data.withColumn("p1704", F.col("p1704").cast("double"))
 
 
+def converted_input(spark, sf_dir):
+    """Raw records through CSV and clustered Parquet, then prepared: the same rows."""
+    folder = kept_folder(spark)
+    participants_raw(spark, sf_dir).write.option("header", True).csv(f"{folder}/csv")
+    csv_to_parquet(spark, f"{folder}/csv", f"{folder}/parquet", header=True, cluster_by=["PIRL3000", "PIRL901"], part_bytes=16 << 20)
+    data = prepare_input(spark.read.parquet(f"{folder}/parquet"))
+    return data.withColumn("p1704", F.col("p1704").cast("double"))
+
+
 def input_count(spark, sf_dir):
     return participants(spark, sf_dir).agg(F.count(F.lit(1)).alias("rows"))
 
@@ -504,6 +513,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "full_report": full_report,
     "scan_input": scan_input,
     "prepare_input": prepared_input,
+    "converted_input": converted_input,
     "input_count": input_count,
     "subset_list": subsets,
     "expected_values": expected_values,

@@ -1,5 +1,6 @@
 import json
 
+import pyarrow.parquet as pq
 import pytest
 
 from tallyframe import CohortReport, layout, standard_catalog
@@ -19,6 +20,7 @@ from tallyframe.sources import (
     read_reference_csv,
     read_reference_jdbc,
     read_subset_codes,
+    stored_bytes,
     write_prepared,
     write_report,
 )
@@ -174,6 +176,71 @@ def test_bulk_conversion(spark, tmp_path):
         assert got.count() == 1000 and got.exceptAll(spark.read.csv(source)).count() == 0
 
 
+def groups_read(folder, column, value):
+    """Row groups whose footer allows the value, all row groups, and rows of each file."""
+    allowed, every, rows = 0, 0, []
+    for path in sorted(folder.glob("*.parquet")):
+        footer = pq.ParquetFile(path).metadata
+        rows.append(footer.num_rows)
+        for g in range(footer.num_row_groups):
+            chunk = footer.row_group(g).column(footer.schema.names.index(column)).statistics
+            every += 1
+            allowed += chunk is None or not chunk.has_min_max or chunk.min <= value <= chunk.max
+    return allowed, every, rows
+
+
+def scanned_rows(frame):
+    """Rows that the scan of an executed frame handed on."""
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan()
+    while plan.children().size():
+        plan = plan.children().head()
+    return plan.metrics().apply("numOutputRows").value()
+
+
+def test_clustered_conversion_deals_evenly_and_skips(spark, tmp_path):
+    # a third of all rows in one subset, half without an exit date, and equal records by the thousand
+    code = "CASE WHEN id % 3 = 0 THEN 'NA' ELSE concat('N', chr(cast(66 + id % 20 AS int))) END"
+    rows = spark.range(60_000).selectExpr(
+        f"{code} AS PIRL3000", "CASE WHEN id % 2 = 0 THEN date_format(date_add(date'2000-01-01', cast(id % 700 AS int)), 'yyyyMMdd') END AS PIRL901",
+        "CASE WHEN id % 3 = 0 THEN '1' ELSE cast(id AS string) END AS PIRL918",
+    )
+    rows.repartition(4).write.option("header", True).csv(str(tmp_path / "csv"))
+    source = str(tmp_path / "csv")
+    size = stored_bytes(spark, source)
+    assert size >= sum(p.stat().st_size for p in (tmp_path / "csv").glob("*.csv"))
+    csv_to_parquet(spark, source, str(tmp_path / "plain"), header=True, part_bytes=size // 11 + 1)
+    csv_to_parquet(spark, source, str(tmp_path / "near"), header=True, cluster_by=["PIRL3000", "PIRL901"], part_bytes=size // 11 + 1)
+    plain, near = (groups_read(tmp_path / name, "PIRL3000", "NC") for name in ("plain", "near"))
+    assert len(plain[2]) == len(near[2]) == 11
+    assert plain[0] == plain[1] and near[0] <= 2 < near[1]
+    assert max(near[2]) <= 1.5 * 60_000 / 11  # neither the hot subset nor its equal records make a large file
+    back = spark.read.parquet(str(tmp_path / "near"))
+    assert back.exceptAll(rows).count() == 0 and back.count() == 60_000
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        read = [scanned_rows(spark.read.parquet(str(tmp_path / n)).where("PIRL3000 = 'NC'").select("PIRL918")) for n in ("plain", "near")]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert read[0] == 60_000 and read[1] <= 2 * max(near[2])
+
+
+def test_conversion_of_nothing(spark, tmp_path):
+    write(tmp_path, "in.csv", "a,b\n")
+    csv_to_parquet(spark, str(tmp_path / "in.csv"), str(tmp_path / "out"), header=True, cluster_by=["a"])
+    assert spark.read.parquet(str(tmp_path / "out")).columns == ["a", "b"]
+
+
+def test_clustered_records_by_row_groups(spark, tmp_path, make_input):
+    rows = [{"p3000": "N" + chr(65 + i % 26), "p901": f"2000{1 + i % 12:02d}15", "p1704": str(i)} for i in range(20_000)]
+    data = make_input(rows)
+    write_prepared(data, str(tmp_path / "near"), partitions=2, cluster_by=["p3000", "p901"], row_group_bytes=1 << 14)
+    allowed, every, files = groups_read(tmp_path / "near", "p3000", "NC")
+    assert len(files) == 2 and allowed < every
+    back = spark.read.parquet(str(tmp_path / "near"))
+    assert back.schema == data.schema and back.exceptAll(data).count() == 0 and back.count() == 20_000
+
+
 def test_prepared_records_round_trip(spark, tmp_path, make_input):
     data = make_input([{"p918": str(i % 3), "p900": "20200101", "p1704": "1.5", "p3000": "AK"} for i in range(50)])
     write_prepared(data, str(tmp_path / "prep"), partitions=2)
