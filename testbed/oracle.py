@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tallyframe import layout, standard_catalog
-from tallyframe.plans.catalog import COUNT, MEDIAN, RATIO, REFINE, bind
+from tallyframe.plans.catalog import COUNT, MEDIAN, RATIO, REFINE
 from testbed.participants import COHORT_SPANS, MEASURES, QUARTER_NUMBER, column_sql
 from testbed.queries import BOUNDS, COMPARED, CONTAINED, HARMLESS, LISTED, MEDIANS, PREDICATES, RATIO_CELLS, REFINEMENTS, WINDOWED
 
@@ -41,8 +41,42 @@ def with_input(body: str, *ctes: str) -> str:
     return f"WITH {', '.join((BASE, *ctes))}\n{body}"
 
 
-def text(cell: str, wrap: bool = False) -> str:
-    return bind(standard_catalog(wrap).resolve(cell).predicate, BOUNDS)
+DECLARED = standard_catalog()
+
+
+def dated(condition: str) -> str:
+    """Window names, longest first, replaced by their days."""
+    for name in sorted(BOUNDS, key=len, reverse=True):
+        condition = condition.replace(f":{name}", f"DATE '{BOUNDS[name]}'")
+    return condition
+
+
+def joined(cell: str) -> str:
+    """A cell's whole condition from what is declared of it and its parents, without the engine's own resolution."""
+    own, parent = DECLARED[cell].predicate, DECLARED[cell].parent
+    return f"{joined(parent)} AND {own}" if parent else own
+
+
+def text(cell: str) -> str:
+    return dated(joined(cell))
+
+
+# The refined cells of three depths, written out by hand: neither declarations nor joining of texts are shared with the engine.
+ACTIVE = "(p900 <= DATE '2001-06-30' AND (p901 IS NULL OR p901 >= DATE '2000-07-01'))"
+BRIEF = "(p918 = 2 AND (p1002 >= DATE '2000-07-01' OR p1007 >= DATE '2000-07-01'))"
+ENTERED = "(p1000 IS NOT NULL OR p1001 IS NOT NULL)"
+SPELLED = {
+    "F04": f"p918 = 1 AND {ACTIVE}",
+    "H16": f"p918 = 1 AND p401 IN (1, 2, 3, 5) AND {ACTIVE} AND {ENTERED}",
+    "J12": f"{BRIEF} AND p301 > 0 AND p1101 >= DATE '2000-07-01'",
+    "F05": f"p918 = 1 AND {ACTIVE} AND p301 BETWEEN 1 AND 3",
+    "F12": f"(p918 = 1 AND {ACTIVE}) OR ({BRIEF} AND p1101 >= DATE '2000-07-01')",
+    "H17": f"p918 = 1 AND p401 IN (1, 2, 3, 5) AND {ACTIVE} AND {ENTERED} AND p1102 IS NOT NULL",
+    "L05": f"p918 = 1 AND {ACTIVE} AND p413 IN (1, 2) AND p301 > 0",
+    "K12n": f"(p918 = 1 AND {ACTIVE}) OR ({BRIEF} AND p301 > 0 AND p1101 >= DATE '2000-07-01')",
+    "M05n": f"p918 = 1 AND {ACTIVE} AND p413 IN (1, 2) AND p301 > 0",
+}
+WRAPPED_F12 = f"{BRIEF} AND p1101 >= DATE '2000-07-01'"
 
 
 def median_of(condition: str) -> str:
@@ -118,7 +152,7 @@ def _window_grid() -> str:
         f"max({e}) FILTER (WHERE Measure = '{m}') AS {n}_{side}" for n, m in layout.WINDOW_MEASURES.items() for side, e in (("start", start), ("end", "t"))
     )
     catalog = standard_catalog()
-    plain = lambda c: bind(catalog.resolve(c).predicate, {}).replace(":", "")
+    plain = lambda c: joined(c).replace(":", "")
     counts = [c for c in WINDOWED if catalog[c].kind in (COUNT, REFINE)]
     aggregates = ", ".join(f'{count_of(plain(c))} AS "{c}"' for c in counts)
     rows = value_rows(counts).replace("subset,", "quarter, w AS \"window\", subset,")
@@ -336,14 +370,14 @@ def oracles() -> dict[str, str]:
         "report_window_cq": window('CAST("end" + 1 - INTERVAL 3 MONTH AS DATE)'),
         "report_window_ptd": window("DATE '2016-07-01'"),
         **{
-            name: counted({k: bind(v, BOUNDS) for k, v in texts.items()})
+            name: counted({k: dated(v) for k, v in texts.items()})
             for name, texts in PREDICATES.items()
         },
         **{
-            name: counted({c: text(c) for c in cells}, column="value", cast="DOUBLE")
+            name: counted({c: SPELLED[c] for c in cells}, column="value", cast="DOUBLE")
             for name, cells in REFINEMENTS.items()
         },
-        "refine_or_precedence": counted({"textual": text("F12"), "wrapped": text("F12", wrap=True)}),
+        "refine_or_precedence": counted({"textual": SPELLED["F12"], "wrapped": WRAPPED_F12}),
         "count_national": counted(
             {c: text(c) for c in ("F04", "F16", "H11", "J10", "L31")},
             column="value", cast="DOUBLE", where="subset = 'ALL'",
