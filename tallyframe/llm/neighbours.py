@@ -1,9 +1,13 @@
 """Approximate nearest neighbours by cosine in a hierarchical k-means tree with best-bin-first traversal.
 
-The tree is fitted on a sample of at most ``sample_rows`` rows and has at most ``most_leaves`` leaves, so it is small whatever
-the number of rows; every row is put into the leaf it descends to. A query takes leaves from a priority queue of nodes by
-their centre's distance. How many is calibrated: for up to ``trial_queries`` queries the exact neighbours among all rows are
-found, and visits are widened until ``recall`` of those lie in visited leaves. A query walks on until its leaves hold more than ``k`` rows, and
+The upper tree is fitted on a sample of at most ``sample_rows`` rows and has at most ``most_leaves`` leaves, so it is small whatever
+the number of rows. Each of its leaves with more than twice ``leaf_rows`` rows holds a lower tree, fitted by one task on as bounded a
+sample of that leaf's rows and kept in a table that rows and queries meet by leaf: leaves stay near ``leaf_rows`` rows while the table grows
+(a lower tree on 20,000 rows has up to some 2,500 leaves, both levels five million). Every row is put into the leaf it descends to.
+
+A query takes leaves from a priority queue of nodes by their centre's distance, in the upper tree and then in each lower one. How many is
+calibrated on both levels: for up to ``trial_queries`` queries the exact neighbours among all rows are found, and visits are widened
+until ``recall`` of those lie in visited leaves. A query walks on until its upper leaves hold more than ``k`` rows, and
 one that then has fewer than ``k`` ids visits more leaves, all in the end. Leaves with many rows or visits are cut into blocks, every
 pair of blocks of a leaf meets in one task, and the best of each block are merged.
 
@@ -15,7 +19,8 @@ a table without a valid query gives no row. Only ``vec_id`` and ``embedding`` ar
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -185,15 +190,18 @@ def search(
             leaf = tree.assign(_unit(_matrix(b.column("embedding"), dims))) if b.num_rows else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("embedding"), pa.array(leaf)], names=["vec_id", "embedding", "leaf"])
 
-    placed = good.mapInArrow(put, "vec_id long, embedding array<double>, leaf long")
-    queries = good.where(is_query)
-    visits = _calibrated(placed, queries, tree, dims, k, recall, trial_queries)
-
-    # Rows of each leaf: at most most_leaves numbers.
-    sizes = placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows")).collect()
-    by_leaf = {r["leaf"]: -(-r["rows"] // block_rows) for r in sizes}
+    top = saved(good.mapInArrow(put, "vec_id long, embedding array<double>, leaf long"))
+    # Rows of each leaf of the upper tree: at most most_leaves numbers.
+    sizes = {r["leaf"]: r["rows"] for r in top.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows")).collect()}
     held = np.zeros(tree.leaves, np.int64)
-    held[[r["leaf"] for r in sizes]] = [r["rows"] for r in sizes]
+    held[list(sizes)] = list(sizes.values())
+    large = {leaf: m for leaf, m in sizes.items() if m > 2 * leaf_rows}
+    lower = _lower_trees(top, large, dims, leaf_rows, sample_rows)
+    placed = saved(_placed(top, lower, {leaf: -(-m // block_rows) for leaf, m in large.items()}, dims, lambda t, u: [[x] for x in t.assign(u).tolist()]))
+    per_place = saved(placed.groupBy("place").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("row_blocks")))
+    queries = good.where(is_query)
+    visits, inner = _calibrated(placed, lower, queries, tree, dims, k, recall, trial_queries)
+    widest = lower.agg(F.max("leaves")).first()[0] or 1 if large else 1
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
@@ -201,7 +209,7 @@ def search(
         pick = lambda t: (t["vec_id"].to_numpy(), _matrix(t["embedding"].combine_chunks(), dims))
         return _table(_best(pick(left), pick(right), k))
 
-    def nearest(some: DataFrame, most: int) -> DataFrame:
+    def nearest(some: DataFrame, most: int, most_inner: int) -> DataFrame:
         def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 if not b.num_rows:
@@ -211,54 +219,115 @@ def search(
                 yield pa.RecordBatch.from_arrays([b.column("vec_id").take(at), b.column("embedding").take(at), pa.array([x for y in order for x in y], pa.int64())], names=["vec_id", "embedding", "leaf"])
 
         walked = some.mapInArrow(walk, "vec_id long, embedding array<double>, leaf long")
-        visited = {r["leaf"]: -(-r["n"] // block_queries) for r in walked.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}
-        blocks = spark.createDataFrame([(leaf, by_leaf[leaf], m) for leaf, m in visited.items() if leaf in by_leaf], "leaf long, row_blocks int, query_blocks int")
+        asks = walked.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()  # at most most_leaves numbers
+        salts = {r["leaf"]: -(-r["n"] // block_queries) for r in asks if r["leaf"] in large}
+        walked = saved(_placed(walked, lower, salts, dims, lambda t, u: [t.visit(x, most_inner) for x in u]))
+        visited = walked.groupBy("place").agg(F.ceil(F.count(F.lit(1)) / block_queries).cast("int").alias("query_blocks"))
+        blocks = per_place.join(visited, "place")
         mine = lambda number: F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col(number)).cast("int")
         each = lambda number: F.explode(F.sequence(F.lit(0), F.col(number) - 1))
-        index = placed.join(blocks, "leaf").withColumn("rb", mine("row_blocks")).withColumn("qb", each("query_blocks")).select("leaf", "rb", "qb", "vec_id", "embedding")
-        asked = walked.join(blocks, "leaf").withColumn("qb", mine("query_blocks")).withColumn("rb", each("row_blocks")).select("leaf", "rb", "qb", "vec_id", "embedding")
-        keys = ["leaf", "rb", "qb"]
+        index = placed.join(blocks, "place").withColumn("rb", mine("row_blocks")).withColumn("qb", each("query_blocks")).select("place", "rb", "qb", "vec_id", "embedding")
+        asked = walked.join(blocks, "place").withColumn("qb", mine("query_blocks")).withColumn("rb", each("row_blocks")).select("place", "rb", "qb", "vec_id", "embedding")
+        keys = ["place", "rb", "qb"]
         return _ranked(asked.groupBy(*keys).cogroup(index.groupBy(*keys)).applyInArrow(meet, FOUND), k)
 
-    # Rows of one id count once, so the visited leaves may still hold too few ids: such queries visit more until all leaves are seen.
-    best = saved(nearest(queries, visits))
-    while visits < tree.leaves:
+    # Visited leaves may still hold too few ids: such queries visit more, in the end all leaves.
+    best = saved(nearest(queries, visits, inner))
+    while visits < tree.leaves or inner < widest:
         full = best.groupBy(F.col("query_id").alias("vec_id")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
         short = saved(queries.join(full, "vec_id", "left_anti"))
         if short.isEmpty():
             break
-        visits = min(4 * visits, tree.leaves)
+        visits, inner = min(4 * visits, tree.leaves), min(4 * inner, widest)
         again = short.select(F.col("vec_id").alias("query_id")).distinct()
-        best = saved(best.join(again, "query_id", "left_anti").unionByName(nearest(short, visits)))
+        best = saved(best.join(again, "query_id", "left_anti").unionByName(nearest(short, visits, inner)))
     return best
 
 
+LOWER = "leaf long, leaves int, tree binary"
+
+
+def _lower_trees(top: DataFrame, large: dict[int, int], dims: int, leaf_rows: int, sample_rows: int) -> DataFrame:
+    """``leaf, leaves, tree``: a tree inside each large leaf, fitted by one task on at most about ``sample_rows`` of its rows."""
+    if not large:
+        return top.sparkSession.createDataFrame([], LOWER)
+
+    def grow(t: pa.Table) -> pa.Table:
+        leaf = t["leaf"][0].as_py()
+        inside = fit(_unit(_matrix(t["embedding"].combine_chunks(), dims)), max(2, large[leaf] // leaf_rows))
+        return pa.table({"leaf": pa.array([leaf]), "leaves": pa.array([inside.leaves], pa.int32()), "tree": pa.array([pickle.dumps(inside)])})
+
+    shares = F.broadcast(top.sparkSession.createDataFrame([(leaf, min(1.0, sample_rows / m)) for leaf, m in large.items()], "leaf long, share double"))
+    some = top.join(shares, "leaf").where(F.rand(42) <= F.col("share")).select("leaf", "embedding")
+    return saved(some.groupBy("leaf").applyInArrow(grow, LOWER))
+
+
+def _placed(some: DataFrame, lower: DataFrame, salts: dict[int, int], dims: int, pick: Callable[[Tree, np.ndarray], list[list[int]]]) -> DataFrame:
+    """Rows with the ``place`` (leaf, and leaf of the tree inside it) or places that ``pick`` gives; a large leaf's rows are dealt to so many tasks."""
+    outer = F.shiftleft("leaf", 32)
+    if not salts:
+        return some.withColumn("place", outer)
+    numbers = F.broadcast(some.sparkSession.createDataFrame(list(salts.items()), "leaf long, salts int"))
+
+    def descend(left: pa.Table, right: pa.Table) -> pa.Table:
+        if left.num_rows and right.num_rows:
+            found = pick(pickle.loads(right["tree"][0].as_py()), _unit(_matrix(left["embedding"].combine_chunks(), dims)))
+        else:
+            found = [[0]] * left.num_rows  # no row of the leaf was in the sample
+        at = pa.array(np.repeat(np.arange(left.num_rows), [len(x) for x in found]), pa.int64())
+        place = (left["leaf"].take(at).to_numpy() << 32) + np.array([x for y in found for x in y], np.int64)
+        return pa.table({"vec_id": left["vec_id"].take(at), "embedding": left["embedding"].take(at), "leaf": left["leaf"].take(at), "place": pa.array(place, pa.int64())})
+
+    keys = ["leaf", "salt"]
+    dealt = some.join(numbers, "leaf").withColumn("salt", F.pmod(F.xxhash64("vec_id", F.lit(2)), F.col("salts")).cast("int"))
+    trees = lower.join(numbers, "leaf").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    inside = dealt.select("vec_id", "embedding", *keys).groupBy(*keys).cogroup(trees.select("tree", *keys).groupBy(*keys))
+    rest = some.join(numbers.select("leaf"), "leaf", "left_anti").select("vec_id", "embedding", "leaf", outer.alias("place"))
+    return inside.applyInArrow(descend, "vec_id long, embedding array<double>, leaf long, place long").unionByName(rest)
+
+
 def _ranked(found: DataFrame, k: int) -> DataFrame:
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _calibrated(placed: DataFrame, queries: DataFrame, tree: Tree, dims: int, k: int, recall: float, trials: int) -> int:
-    """Leaf visits that cover ``recall`` of the exact neighbours of the trial queries, found in one pass over all rows."""
+def _calibrated(placed: DataFrame, lower: DataFrame, queries: DataFrame, tree: Tree, dims: int, k: int, recall: float, trials: int) -> tuple[int, int]:
+    """Visits to leaves, and to leaves inside each, that cover ``recall`` of the exact neighbours of the trial queries, found in one pass over all rows."""
     some = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(trials).toPandas()
-    if not len(some) or tree.leaves < 2:
-        return max(1, tree.leaves)
+    if not len(some):
+        return max(1, tree.leaves), 1
     trial = (some["vec_id"].to_numpy(), np.stack(some["embedding"].to_list()))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 ids = b.column("vec_id").to_numpy()
-                leaf_of = dict(zip(ids.tolist(), b.column("leaf").to_pylist()))
+                place_of = dict(zip(ids.tolist(), b.column("place").to_pylist()))
                 found = _best(trial, (ids, _matrix(b.column("embedding"), dims)), k)
-                t = _table(found).append_column("leaf", pa.array([leaf_of[x[1]] for x in found], pa.int64()))
+                t = _table(found).append_column("place", pa.array([place_of[x[1]] for x in found], pa.int64()))
                 yield from t.to_batches()
 
-    near = placed.mapInArrow(scan, FOUND + ", leaf long")
-    best = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"), F.max_by("leaf", "score").alias("leaf"))
+    near = placed.select("vec_id", "embedding", "place").mapInArrow(scan, FOUND + ", place long")
+    best = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"), F.max_by("place", "score").alias("place"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    truth = best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "leaf").collect()  # trials times k rows
-    place = {int(i): {leaf: j for j, leaf in enumerate(tree.visit(u, tree.leaves))} for i, u in zip(trial[0], _unit(trial[1]))}
-    depth = sorted(place[r["query_id"]][r["leaf"]] + 1 for r in truth)
-    return depth[min(len(depth) - 1, int(np.ceil(recall * len(depth))) - 1)] if depth else tree.leaves
+    truth = best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "place").collect()  # trials times k rows
+    if not truth:
+        return tree.leaves, 1
+    units = dict(zip(trial[0].tolist(), _unit(trial[1])))
+    order = {i: {leaf: j for j, leaf in enumerate(tree.visit(u, tree.leaves))} for i, u in units.items()}
+
+    def depths(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = []
+        if left.num_rows and right.num_rows:
+            inside = pickle.loads(right["tree"][0].as_py())
+            for i, inner in zip(left["query_id"].to_pylist(), left["inner"].to_pylist()):
+                found.append(inside.visit(units[i], inside.leaves).index(inner) + 1)
+        return pa.table({"depth": pa.array(found, pa.int32())})
+
+    wanted = placed.sparkSession.createDataFrame([(r["query_id"], r["place"] >> 32, r["place"] & 0xFFFFFFFF) for r in truth], "query_id long, leaf long, inner long")
+    inner = [r["depth"] for r in wanted.groupBy("leaf").cogroup(lower.groupBy("leaf")).applyInArrow(depths, "depth int").collect()]
+    # Either walk may miss half of what may be missed.
+    each = (1 + recall) / 2
+    reach = lambda d: sorted(d)[min(len(d), int(np.ceil(each * len(d)))) - 1]
+    return reach([order[r["query_id"]][r["place"] >> 32] + 1 for r in truth]), reach(inner + [1] * (len(truth) - len(inner)))

@@ -381,6 +381,33 @@ def test_neighbours_recall_and_edges(spark):
     assert neighbours.search(frame.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_neighbours_in_trees_inside_leaves(spark):
+    """Four upper leaves for 6,000 rows: the lower trees keep leaves small, but for rows that are all equal."""
+    rng = np.random.default_rng(14)
+    v = rng.normal(size=(40, 12))[rng.integers(0, 40, 6000)] + 0.4 * rng.normal(size=(6000, 12))
+    v[:2000] = v[0]  # a third of all rows
+    frame = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>").repartition(5)
+    got = defaultdict(list)
+    options = dict(leaf_rows=50, most_leaves=4, sample_rows=1500, block_rows=400, block_queries=30)
+    for r in neighbours.search(frame, F.col("vec_id") % 50 == 0, 5, **options).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append(r["vec_id"])
+    unit = v / np.sqrt((v * v).sum(1, keepdims=True))
+    hits = asked = 0
+    for q in range(2000, 6000, 50):
+        score = unit @ unit[q]
+        score[q] = -9
+        asked += 5
+        hits += len(set(np.argsort(-score)[:5].tolist()) & set(got[q]))
+    assert set(got) == set(range(0, 6000, 50)) and all(len(x) == 5 for x in got.values())
+    assert hits >= 0.9 * asked and got[0] == [1, 2, 3, 4, 5] and got[1950] == [0, 1, 2, 3, 4]
+    top = frame.withColumn("leaf", F.lit(3).cast("long"))
+    lower = neighbours._lower_trees(top, {3: 6000}, 12, 50, 1500)
+    placed = neighbours._placed(top, lower, {3: 4}, 12, lambda t, u: [[x] for x in t.assign(u).tolist()])
+    held = {r["place"]: (r["n"], r["d"]) for r in placed.groupBy("place").agg(F.count("*").alias("n"), F.count_distinct("embedding").alias("d")).collect()}
+    assert sum(n for n, _ in held.values()) == 6000 and len(held) > 40 and all(p >> 32 == 3 for p in held)
+    assert max(d for _, d in held.values()) <= 500
+
+
 def test_neighbours_of_outliers_among_copies(spark):
     """Nearly all vectors are one; a query far from them still gets five."""
     rng = np.random.default_rng(9)
