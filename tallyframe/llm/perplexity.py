@@ -4,8 +4,8 @@ Grams of ``ORDER`` code points (16 bits each, runs of white space as one blank,
 are counted in all trusted documents; lower orders count the different symbols before a gram. Counts, totals of contexts and
 discounts are tables that Spark shards by gram and joins; the grams asked for are those of all documents, each once. Per
 document, the mean logarithm over all of its grams gives the perplexity, and documents above their language's limit are
-rejected: the ``quantile`` of perplexities of trusted documents of that language that were kept out of the training, times
-``slack``.
+rejected: the ``quantile`` of perplexities of trusted documents of that language that were kept out of the training (the
+largest of them where they are few).
 
 The scored grams go to the tasks as a broadcast up to ``broadcast_grams`` rows; beyond, documents and the grams that a bucket
 of them asks for meet by bucket. Both ways give the same numbers. Labels work alike (``broadcast_labels``).
@@ -81,12 +81,14 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 
 
 def _discounts(counts: DataFrame) -> list[float]:
-    """Three discounts from the numbers of grams seen once to four times."""
+    """Three discounts from the numbers of grams seen once to four times.
+
+    Small tables may lack one of these or give a discount that isn't positive, which would leave unseen grams no probability: they get fixed ones.
+    """
     n = counts.agg(*[F.count_if(F.col("c") == i) for i in (1, 2, 3, 4)]).first()
-    if not all(n):
-        return [0.5, 1.0, 1.5]
-    y = n[0] / (n[0] + 2 * n[1])
-    return [min(max(i - (i + 1) * y * n[i] / n[i - 1], 0.0), float(i)) for i in (1, 2, 3)]
+    y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.0
+    found = [i - (i + 1) * y * n[i] / n[i - 1] if n[i - 1] and n[i] else 0.0 for i in (1, 2, 3)]
+    return found if min(found) > 0 else [0.5, 1.0, 1.5]
 
 
 def _low(symbols: int) -> Column:
@@ -189,18 +191,18 @@ def _scored(docs: DataFrame, grams: DataFrame, broadcast_grams: int) -> DataFram
     return dealt.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(meet, SCORED)
 
 
-def limits(scores: DataFrame, quantile: float, slack: float) -> DataFrame:
+def limits(scores: DataFrame, quantile: float) -> DataFrame:
     """``of_lang, limit``: the quantile of each language on a grid of logarithms, exact on that grid; no group is gathered."""
     cell = F.floor(-F.col("mean_logp") * GRID)
     counts = scores.groupBy("lang", cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(Window.partitionBy("lang").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0))
     every = F.sum("n").over(Window.partitionBy("lang"))
     reached = counts.withColumn("upto", upto).withColumn("every", every).where(F.col("upto") >= F.ceil(F.col("every") * quantile))
-    return reached.groupBy(F.col("lang").alias("of_lang")).agg((F.exp((F.min("cell") + 1) / GRID) * slack).alias("limit"))
+    return reached.groupBy(F.col("lang").alias("of_lang")).agg(F.exp((F.min("cell") + 1) / GRID).alias("limit"))
 
 
 def classify(
-    docs: DataFrame, labels: DataFrame, *, quantile: float = 0.99, slack: float = 1.25, broadcast_grams: int = 2_000_000, broadcast_labels: int = 1_000_000
+    docs: DataFrame, labels: DataFrame, *, quantile: float = 0.998, broadcast_grams: int = 2_000_000, broadcast_labels: int = 1_000_000
 ) -> DataFrame:
     """``doc_id, lang, text_hash, n_grams, perplexity, limit, kept`` for every document."""
     docs = docs.select("doc_id", "text", "lang")
@@ -217,7 +219,7 @@ def classify(
     grams = saved(log_probabilities(asked, model(counts)))
     scores = saved(_scored(docs, grams, broadcast_grams))
     known = scores.where(held_out).join(marks, F.col("doc_id") == F.col("l_id"), "left_semi")
-    limit = limits(known, quantile, slack)
+    limit = limits(known, quantile)
     judged = scores.join(limit, F.col("lang").eqNullSafe(F.col("of_lang")), "left")
     perplexity = F.exp(-F.col("mean_logp"))
     return judged.select("doc_id", "lang", "text_hash", "n_grams", perplexity.alias("perplexity"), "limit", (F.col("limit").isNull() | (perplexity <= F.col("limit"))).alias("kept"))

@@ -301,8 +301,7 @@ def test_perplexity_both_ways_and_edges(spark, docs, none, rows):
     by_broadcast, by_bucket = score(), score(broadcast_grams=0)
     assert by_broadcast.keys() == by_bucket.keys()
     assert all(math.isclose(by_broadcast[k]["perplexity"], by_bucket[k]["perplexity"], rel_tol=1e-9) for k in by_broadcast)
-    grams = Counter()
-    assert perplexity._grams(["ab", None])[1].tolist() == [3, 4] and not grams
+    assert perplexity._grams(["ab", None])[1].tolist() == [3, 4]
     bad = [r["perplexity"] for k, r in by_broadcast.items() if k[0] is not None and k[0] >= 1000]
     good = [r["perplexity"] for k, r in by_broadcast.items() if k[0] is not None and k[0] < 12]
     assert min(bad) > max(good)
@@ -310,6 +309,64 @@ def test_perplexity_both_ways_and_edges(spark, docs, none, rows):
     assert perplexity.classify(none, marks).count() == 0 and perplexity.classify(docs, marks.limit(0)).where("kept").count() == docs.count()
 
 
+def brute_kneser_ney(training, order=4):
+    """Modified Kneser-Ney by dictionaries of strings; gives the probability of a gram's last symbol."""
+    padded = lambda t: "\x02" * (order - 1) + re.sub(r"\s+", " ", t) + "\x03"
+    grams = lambda t: [padded(t)[i : i + order] for i in range(len(padded(t)) - order + 1)]
+    counts = {order: Counter(g for t in training for g in grams(t))}
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])  # distinct symbols before it
+    cuts = {}
+    for k, table in counts.items():
+        n = [sum(c == i for c in table.values()) for i in (1, 2, 3, 4)]
+        y = n[0] / (n[0] + 2 * n[1]) if all(n) else 0
+        cuts[k] = [i - (i + 1) * y * n[i] / n[i - 1] for i in (1, 2, 3)] if all(n) else [0.0]
+        cuts[k] = cuts[k] if min(cuts[k]) > 0 else [0.5, 1.0, 1.5]
+    cut = lambda k, c: cuts[k][min(c, 3) - 1] if c else 0.0
+    totals, taken = defaultdict(int), defaultdict(float)
+    for k, table in counts.items():
+        for g, c in table.items():
+            totals[k, g[:-1]] += c
+            taken[k, g[:-1]] += min(c, cut(k, c))
+
+    def p(g):
+        if not g:
+            return 1 / (len(counts[1]) + 1)
+        k, total = len(g), totals.get((len(g), g[:-1]), 0)
+        if not total:
+            return p(g[1:])
+        c = counts[k].get(g, 0)
+        return max(c - cut(k, c), 0.0) / total + taken[k, g[:-1]] / total * p(g[1:])
+
+    return lambda t: math.exp(-sum(math.log(p(g)) for g in grams(t)) / len(grams(t)))
+
+
+def test_perplexity_against_brute_force(spark):
+    rng = random.Random(8)
+    rows = [(i, words(rng.randrange(1, 30), 900 + i), ["en", "de", None][i % 3]) for i in range(160)]
+    rows += [(200 + i, "".join(rng.choice("qwxz#@ \n") for _ in range(80)), ["en", "de", None][i % 3]) for i in range(12)]
+    rows += [(300, None, "en"), (301, "", "de"), (302, "alpha1", "fr"), (3, rows[3][1], "en")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    good = set(range(0, 160, 2))
+    marks = spark.createDataFrame([(i, int(i in good)) for i in range(180)], "doc_id long, quality int")
+    out = {r["doc_id"] for r in frame.where(F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0).collect()}
+    model = brute_kneser_ney([t for i, t, _ in rows if i in good and i not in out])
+    for quantile in (0.5, 0.998):
+        limit = {}
+        for lang in ("en", "de", None):
+            cells = sorted(math.floor(math.log(model(t)) * 1000) for i, t, x in rows if i in good and i in out and x == lang)
+            limit[lang] = math.exp((cells[math.ceil(len(cells) * quantile) - 1] + 1) / 1000)
+        got = perplexity.classify(frame, marks, quantile=quantile).collect()
+        assert Counter(r["doc_id"] for r in got) == Counter(i for i, _, _ in rows)
+        text = {i: (t or "", x) for i, t, x in rows}
+        for r in got:
+            want, lang = model(text[r["doc_id"]][0]), text[r["doc_id"]][1] if r["doc_id"] != 3 else r["lang"]
+            assert math.isclose(r["perplexity"], want, rel_tol=1e-9)
+            assert r["kept"] == (lang not in limit or want <= limit[lang])
+            assert (r["limit"] is None) == (lang not in limit) and (lang not in limit or math.isclose(r["limit"], limit[lang], rel_tol=1e-9))
+        assert not any(r["kept"] for r in got if 200 <= r["doc_id"] < 300)
+
+
 def test_kneser_ney_sums_to_one(spark):
     orders = perplexity.model(perplexity.gram_counts(spark.createDataFrame([("abracadabra abra",), ("banana cabana",)], "text string")))
     seen = {r["g"] for r in orders[0][0].collect()}
