@@ -51,7 +51,7 @@ def _grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return packed[inside[: len(packed)]].view(np.int64), np.cumsum(sizes - ORDER + 1)
 
 
-def _slices(texts: list[str | None], most: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def _slices(texts: list[str | None], most: int = 500_000) -> Iterator[tuple[int, int]]:
     begin = 0
     while begin < len(texts):
         stop, held = begin, 0
