@@ -66,10 +66,16 @@ def _majority(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in batch.schema.names if c != "hashes"), pa.array(out.view(np.int64))], names=[*(c for c in batch.schema.names if c != "hashes"), "fp"])
 
 
+def majority(hashes: str) -> Column:
+    """Bits set in over half of the column ``hashes``, as a signed long; zero for none. The same as ``_majority``, without Python workers."""
+    ones = f"size(filter({hashes}, h -> (shiftrightunsigned(h, b) & 1) = 1))"
+    return F.expr(f"aggregate(transform(sequence(0, 63), b -> IF(2 * {ones} > size({hashes}), shiftleft(1L, b), 0L)), 0L, (acc, bit) -> acc | bit)")
+
+
 def fingerprints(docs: DataFrame, n: int = 3) -> DataFrame:
-    """``doc_id``, ``text_hash`` and the 64-bit fingerprint ``fp`` as a signed long."""
+    """``doc_id``, ``text_hash`` and the 64-bit fingerprint ``fp`` as a signed long; the majority is taken in the JVM, so that no Python worker holds the hashes."""
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), shingle_hashes(F.col("text"), n).alias("hashes"))
-    return rows.mapInArrow(_majority, "doc_id long, text_hash long, fp long")
+    return rows.select("doc_id", "text_hash", majority("hashes").alias("fp"))
 
 
 def _turned(fp: np.ndarray, block: int) -> np.ndarray:

@@ -275,6 +275,20 @@ def test_simhash_fingerprints(docs, none, rows):
     assert simhash.near_groups(none).count() == 0 and simhash.one_of_each(none).count() == 0
 
 
+def test_simhash_fingerprints_hold_no_python_worker(spark):
+    """The majority of bits is taken in the JVM (the pipeline's check ran out of executor memory there); bit 63 and empty texts too."""
+    rng = random.Random(5)
+    words_ = ["w%d" % i for i in range(40)] + ["Up", "UP"]
+    rows = [(i, " ".join(rng.choice(words_) for _ in range(rng.randrange(8)))) for i in range(300)] + [(None, None), (7, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = simhash.fingerprints(frame)
+    assert not re.search("Python|Arrow|Pandas", found._jdf.queryExecution().executedPlan().toString())
+    hashes = frame.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), simhash.shingle_hashes(F.col("text")).alias("hashes"))
+    want = hashes.mapInArrow(simhash._majority, "doc_id long, text_hash long, fp long")
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert found.where("fp < 0").count() > 0
+
+
 @pytest.mark.parametrize("few", [2, 32])
 def test_simhash_links_are_exact(spark, few):
     rng = random.Random(3)
