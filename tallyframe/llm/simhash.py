@@ -66,16 +66,28 @@ def _majority(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in batch.schema.names if c != "hashes"), pa.array(out.view(np.int64))], names=[*(c for c in batch.schema.names if c != "hashes"), "fp"])
 
 
-def majority(hashes: str) -> Column:
-    """Bits set in over half of the column ``hashes``, as a signed long; zero for none. The same as ``_majority``, without Python workers."""
-    ones = f"size(filter({hashes}, h -> (shiftrightunsigned(h, b) & 1) = 1))"
-    return F.expr(f"aggregate(transform(sequence(0, 63), b -> IF(2 * {ones} > size({hashes}), shiftleft(1L, b), 0L)), 0L, (acc, bit) -> acc | bit)")
+def majority(rows: DataFrame, hashes: str, *keys: str) -> DataFrame:
+    """``keys`` and ``fp``: bits set in over half of the column ``hashes``, as a signed long; zero for none. The same as ``_majority``,
+    without Python workers: the hashes are exploded and their bits summed by a grouping of each row, so that every bit is counted
+    by compiled code once per hash; two bits' counts share a long (low and high 32 bits), since no text has 2**32 shingles."""
+    one = F.lit(1).cast("long")
+    bit = lambda b: F.shiftrightunsigned("h_", b).bitwiseAND(one)
+    sums = [F.sum(bit(b).bitwiseOR(F.shiftleft(bit(b + 32), 32))).alias(f"s{b}_") for b in range(32)]
+    numbered = rows.select(F.monotonically_increasing_id().alias("row_"), *keys, hashes)  # apart from the explode, or each hash gets an id
+    each = numbered.select("row_", *keys, F.explode_outer(hashes).alias("h_"))
+    counted = each.groupBy("row_", *keys).agg(F.count("h_").alias("n_"), *sums)
+    fp = F.lit(0).cast("long")
+    for b in range(32):
+        s_ = F.coalesce(F.col(f"s{b}_"), F.lit(0).cast("long"))
+        for at, count in ((b, s_.bitwiseAND(F.lit(0xFFFFFFFF))), (b + 32, F.shiftrightunsigned(s_, 32))):
+            fp = fp.bitwiseOR(F.when(2 * count > F.col("n_"), F.shiftleft(one, at)).otherwise(F.lit(0).cast("long")))
+    return counted.select(*keys, fp.alias("fp"))
 
 
 def fingerprints(docs: DataFrame, n: int = 3) -> DataFrame:
     """``doc_id``, ``text_hash`` and the 64-bit fingerprint ``fp`` as a signed long; the majority is taken in the JVM, so that no Python worker holds the hashes."""
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), shingle_hashes(F.col("text"), n).alias("hashes"))
-    return rows.select("doc_id", "text_hash", majority("hashes").alias("fp"))
+    return majority(rows, "hashes", "doc_id", "text_hash")
 
 
 def _turned(fp: np.ndarray, block: int) -> np.ndarray:
